@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 # The marks that stand for a glottal stop or an apostrophe, and the code points without width.
 GLOTTALS = "ʻʼ‘’‛`´′‵'ʹʽˈꞌ"
-INVISIBLES = "­͏؜​‌‍‎‏  ‪‫‬‭‮⁠⁡⁢⁣﻿"
+INVISIBLES = "\u00ad\u034f\u061c\u200b\u200c\u200d\u200e\u200f\u202a\u202b\u202c\u202d\u202e\u2060\u2061\u2062\u2063\ufeff"
 
-_DROP = re.compile(f"[{GLOTTALS}{INVISIBLES}]|[̀-ͯ]")
+_DROP = re.compile(f"[{GLOTTALS}{INVISIBLES}]|[\u0300-\u036f]")
 _ENTITY = re.compile(r"&#?\w{1,10};")
 _WORD = re.compile(r"[^\W_]+")
 
@@ -62,5 +62,5 @@ def folded(text: Column) -> Column:
     plain = F.regexp_replace(text, r"&(?:amp;)?(?:lsquo|rsquo|#8216|#8217|#x2018|#x2019|#39|apos|okina);", "")
     plain = F.regexp_replace(plain, r"&#?\w{1,10};", " ")
     plain = F.translate(F.lower(plain), _SOURCE, _TARGET)
-    plain = F.regexp_replace(plain, f"[{GLOTTALS}{INVISIBLES}̀-ͯ]", "")
+    plain = F.regexp_replace(plain, f"[{GLOTTALS}{INVISIBLES}\u0300-\u036f]", "")
     return F.trim(F.regexp_replace(plain, r"[^\p{L}\p{N}]+", " "))
