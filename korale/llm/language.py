@@ -35,7 +35,7 @@ SPELLINGS = {
     "tvl": "tvl", "tuvaluan": "tvl", "tv": "tvl", "en": "en", "eng": "en", "english": "en",
     "sm": "sm", "smo": "sm", "samoan": "sm", "gil": "gil", "gilbertese": "gil", "kiribati": "gil", "ikiribati": "gil",
 }
-FIT_ROWS = 6000  # bound of the labelled sample
+FIT_ROWS = 3000  # bound of the labelled sample
 ORDERS = (3, 4, 5)  # characters of an n-gram; blanks stand at word edges
 RATIO = 0.5  # of an n-gram's highest rate, from which a language has it
 LEAST = 4  # texts of a language that must have an n-gram
@@ -148,8 +148,17 @@ def fit(segments: DataFrame) -> LanguageFilters:
     """Filters from FIT_ROWS labelled segments, in the order of a hash of their id."""
     named = segments.select("segment_id", "text", label(F.col("likely_language")).alias("l")).filter("l is not null and text is not null")
     picked = named.orderBy(F.xxhash64("segment_id"), "segment_id", "text").limit(FIT_ROWS).select("l", "text").toPandas()
-    keys, langs = [], []
     texts = np.zeros(len(LANGUAGES))
+    counted = [(np.zeros(0, np.uint64), np.zeros(0, np.int64)) for _ in LANGUAGES]
+    waiting: list[list[np.ndarray]] = [[] for _ in LANGUAGES]
+
+    def merge(b: int) -> None:
+        h, n = np.unique(np.concatenate(waiting[b]), return_counts=True) if waiting[b] else counted[b]
+        if waiting[b]:
+            both, at = np.unique(np.concatenate([counted[b][0], h]), return_inverse=True)
+            counted[b] = both, np.bincount(at, np.concatenate([counted[b][1], n])).astype(np.int64)
+            waiting[b].clear()
+
     for lang, text in zip(picked.l, picked.text, strict=True):
         b = LANGUAGES.index(lang)
         if not (ps := paragraphs(text)):
@@ -157,14 +166,18 @@ def fit(segments: DataFrame) -> LanguageFilters:
         texts[b] += len(ps)
         h, of = grams(ps)
         with np.errstate(over="ignore"):
-            h = h[np.unique(h * np.uint64(31) + of.astype(np.uint64), return_index=True)[1]]  # once per paragraph
-        keys.append(h)
-        langs.append(np.full(len(h), b, np.int8))
-    if not keys:
+            waiting[b].append(h[np.unique(h * np.uint64(31) + of.astype(np.uint64), return_index=True)[1]])  # once per paragraph
+        if sum(map(len, waiting[b])) > 1_000_000:
+            merge(b)
+    for b in range(len(LANGUAGES)):
+        merge(b)
+    hashes = np.unique(np.concatenate([c[0] for c in counted]))
+    if not len(hashes):
         return LanguageFilters(np.zeros(1 << BITS, np.uint8), LANGUAGES)
-    hashes, at = np.unique(np.concatenate(keys), return_inverse=True)
-    counts = np.bincount(at * len(LANGUAGES) + np.concatenate(langs), minlength=len(hashes) * len(LANGUAGES))
-    return LanguageFilters.fit(hashes, counts.reshape(-1, len(LANGUAGES)), texts, LANGUAGES)
+    counts = np.zeros((len(hashes), len(LANGUAGES)), np.int64)
+    for b, (h, n) in enumerate(counted):
+        counts[np.searchsorted(hashes, h), b] = n
+    return LanguageFilters.fit(hashes, counts, texts, LANGUAGES)
 
 
 PARAGRAPH_SCHEMA = "source_path string, segment_id string, para_no int, words int, lang string, confidence double, evidence array<double>"

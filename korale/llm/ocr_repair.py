@@ -45,8 +45,8 @@ from korale.session import stored, table
 SCANNED = ("tesseract_image_ocr", "existing_ocr_jsonl")
 FIT_LINES = 20_000  # bound of the lines for the furniture classifier
 FIT_WORDS = 8_000  # bound of the lexicon words for the join classifier and the ranking
-LEXICON = 3  # occurrences from which a word of clean pages is in the lexicon
-LEXICON_SCANNED = 12  # the same for words of scanned pages only
+LEXICON = 2  # occurrences from which a word of clean pages is in the lexicon
+LEXICON_SCANNED = 6  # the same for words of scanned pages only
 FURNITURE = 0.5  # probability from which a line is furniture
 JOIN = 0.5
 REPLACE = 0.5
@@ -60,7 +60,8 @@ _GLOTTAL = re.compile("[‘’'`ʼ‛´′]")
 _HIDDEN = re.compile(f"[{INVISIBLES}]")
 _PURE = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)*")
 _NUMBER = re.compile(r"[\dOoIl|!.,:/-]*\d[\dOoIl|!.,:/-]*")
-_ROMAN = re.compile(r"(?=[ivxlc1!|])[xl1!|]{0,6}(?:[i1!|l]?[xv]|v?[i1!|l]{0,3})", re.I)
+_ROMAN = re.compile(r"[ivxlc1!|]{1,9}", re.I)
+_STOP = re.compile(r"\w{2}[.!?][”\"')]*\s+(\S+)")
 # Shapes that scanners confuse, the printed characters after the read ones.
 _SHAPES = (("rn", "m"), ("ri", "n"), ("ii", "u"), ("lc", "k"), ("cl", "d"), ("vv", "w"))
 _SHAPE = str.maketrans("0@5986|!1þyc*fb", "oasghollipveʻth")
@@ -161,7 +162,7 @@ def word_counts(page: DataFrame) -> DataFrame:
 
 EDGE_FEATURES = (
     "top", "depth", "width", "terminated", "numbers", "only_number", "is_page", "gap", "blank_beside", "lower_start", "broken", "upper", "words",
-    "neighbour_lower", "neighbour_terminated", "same_lines", "pages", "neighbour_width",
+    "neighbour_lower", "neighbour_terminated", "same_lines", "pages", "neighbour_width", "inner_stop",
 )
 _DIGITS = str.maketrans("OoIl|!", "001111")
 
@@ -199,10 +200,11 @@ def _features(lines: list[str], at: list[int], k: int, top: bool, depth: int, pa
     numbers, only, hit = _page_number(line, page)
     beside = i + 1 if top else i - 1
     return [
-        float(top), float(depth), len(line) / width, float(bool(re.search(r"[.!?:][”\"')\]]*$", line))), float(numbers), float(only), float(hit),
+        float(top), float(depth), len(line) / width, float(bool(re.search(r"[.!?][”\"')\]]*$", line))), float(numbers), float(only), float(hit),
         float(bool(re.search(r"\S\s{2,}\S", line)) or " | " in line), float(0 <= beside < len(lines) and not lines[beside].strip()),
         float(line[:1].islower()), float(bool(_BROKEN.search(lines[i]))), sum(c.isupper() for c in letters) / max(1, len(letters)), float(len(line.split())),
-        float(other[:1].islower()), float(bool(re.search(r"[.!?:][”\"')\]]*$", other))), 0.0, 0.0, len(other) / width,
+        float(other[:1].islower()), float(bool(re.search(r"[.!?][”\"')\]]*$", other))), 0.0, 0.0, len(other) / width,
+        float(any(m.group(1)[0].isupper() or m.group(1)[0] in "—“\"" or m.group(1)[-1] in _HYPHENS for m in _STOP.finditer(line))),
     ]
 
 
@@ -260,13 +262,16 @@ def fit_furniture(edges: DataFrame) -> gbt.Forest | None:
     name = {n: i for i, n in enumerate(EDGE_FEATURES)}
     col = lambda n: x[:, name[n]]
     inner = got.inner.to_numpy(bool)
-    open_end = (col("terminated") == 0) & (col("broken") == 0)
+    open_end = (col("terminated") == 0) & (col("broken") == 0) & (col("inner_stop") == 0)
+    # a line in lower case that goes on from the line above, or into the line below
+    goes_on = (col("lower_start") == 1) & np.where(col("top") == 1, col("neighbour_lower") == 1, (col("neighbour_terminated") == 0) & (col("blank_beside") == 0))
+    open_end &= ~goes_on
     sure = ~inner & (
-        (col("only_number") == 1) & (col("is_page") == 1)
+        (col("only_number") == 1) & (col("depth") == 0)
         | (col("is_page") == 1) & (col("gap") == 1) & open_end
         | (col("same_lines") >= 3) & (col("same_lines") >= 0.4 * col("pages")) & open_end & (col("width") < 0.95)
     )
-    text = inner | (col("same_lines") <= 1) & (col("is_page") == 0) & ((col("terminated") == 1) | (col("broken") == 1) | (col("width") > 0.85) & (col("pages") >= 3))
+    text = inner | ((col("same_lines") <= 1) | goes_on | (col("inner_stop") == 1)) & (col("is_page") == 0) & ((col("terminated") == 1) | (col("broken") == 1) | (col("inner_stop") == 1) | goes_on | (col("width") > 0.85) & (col("pages") >= 3))
     kept = sure | text
     x, y = x[kept], sure[kept].astype(float)
     blind = x[y == 1].copy()  # single pages have nothing to repeat
@@ -327,7 +332,7 @@ def page_tokens(text: str, gone: set[int]) -> list[tuple[int, str, str, str | No
         m = _BROKEN.search(lines[i]) if n + 1 < len(at) else None
         broken = False
         if m and (tail := lines[at[n + 1]].split()):
-            left, right = form(m.group(1)), form(tail[0])
+            left, right = form(m.group(1)), form(tail[0]).rstrip("!")
             if left and right and any(c.isalpha() for c in right):
                 broken = True
                 out.append((i + 1, "h", left + right, left, right))
