@@ -16,18 +16,23 @@ TVL_HINTS = (
 TVL_LETTERS = "āēīōū‵ʻ’"
 EN_HINTS = (
     "a", "an", "are", "as", "at", "be", "by", "can", "education", "guidance", "in", "is", "it", "its", "learning", "learners", "of", "on", "or", "our", "should",
-    "support", "teacher", "teachers", "the", "and", "for", "from", "that", "this", "to", "was", "were", "will", "with",
+    "support", "teacher", "teachers", "the", "and", "for", "with", "from", "that", "this", "these", "those", "their", "they", "to", "will", "would", "shall",
+    "we", "working", "together", "your", "you", "house", "government", "report", "committee", "health", "budget", "ministry", "conference", "island",
 )
+PLACE_HINTS = ("funafuti", "nanumea", "nanumaga", "nui", "nukufetau", "nukulaelae", "niutao", "niulakita", "vaitupu", "tuvalu", "nanumean")
+LETTERS = "A-Za-zĀĒĪŌŪāēīōūʻ’'`-"
+ENTITY = f"[A-ZĀĒĪŌŪ][{LETTERS}]+(?:[ ][A-ZĀĒĪŌŪ][{LETTERS}]+){{0,5}}"
+STOP_ENTITIES = ("Tuvalu", "Page", "The", "A", "An", "Of", "For", "And", "No", "TVL", "EN", "PDF")
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}_]+"), lambda w: w != "")
+    return F.regexp_extract_all(F.lower(text), F.lit(f"([{LETTERS}]+)"), 1)
 
 
 def language_scores(text: Column) -> tuple[Column, Column]:
     """(tvl, en): hint words, and for tvl its letters."""
     hint = lambda listed: F.size(F.filter(words(text), lambda w: w.isin(*listed)))
-    return hint(TVL_HINTS) + F.length(F.regexp_replace(text, f"[^{TVL_LETTERS}]", "")), hint(EN_HINTS)
+    return hint(TVL_HINTS) + hint(PLACE_HINTS) + F.length(F.regexp_replace(text, f"[^{TVL_LETTERS}]", "")), hint(EN_HINTS)
 
 
 def guess_language(text: Column, path: Column | None = None) -> Column:
@@ -47,12 +52,9 @@ def hint_share(text: Column) -> Column:
     return F.coalesce(tvl / F.nullif(tvl + en, F.lit(0)), F.lit(0.0))
 
 
-STOP_ENTITIES = ("The", "A", "An", "In", "On", "At", "For", "And", "But", "With", "According", "Back", "During", "After", "Near", "Each", "Every", "No", "Only", "Some")
-
-
 def entities(text: Column) -> Column:
     """Runs of one to six capitalised words, without stop words and in order of first occurrence."""
-    runs = F.regexp_extract_all(text, F.lit(r"(\p{Lu}[\p{L}\p{M}ʻ’'-]+(?: \p{Lu}[\p{L}\p{M}ʻ’'-]+){0,5})"), 1)
+    runs = F.regexp_extract_all(text, F.lit(f"({ENTITY})"), 1)
     return F.array_distinct(F.filter(runs, lambda e: ~e.isin(*STOP_ENTITIES) & (F.length(e) >= 3)))
 
 

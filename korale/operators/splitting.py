@@ -110,11 +110,8 @@ def contamination(train: DataFrame, held: DataFrame, n: int = NGRAM, containment
     short = texts.withColumn("words", tokens(F.col("form"))).filter(F.size("words").between(4, n - 1))
     lead = F.greatest(F.lit(1), F.floor(F.lit(containment) * F.size("words")).cast("int") + 1)
     short = short.select("side", "words", lead.alias("lead"), F.array_join(F.slice("words", F.lit(1), lead), " ").alias("key")).distinct()
-    runs = []
-    for k in range(3, n):
-        words = tokens(F.col("form"))
-        grams = F.transform(F.sequence(F.lit(1), F.size(words) - (k - 1)), lambda i, w=words, k=k: F.array_join(F.slice(w, i, k), " "))
-        runs.append(rest.filter(F.size(words) >= k).select("id", "side", F.explode(F.array_distinct(grams)).alias("key"), F.lit(k).alias("lead")))
+    words = tokens(F.col("form"))
+    runs = [rest.select("id", "side", F.explode(ngrams(words, k)).alias("key"), F.lit(k).alias("lead")) for k in range(3, n)]
     every = runs[0]
     for r in runs[1:]:
         every = every.unionByName(r)
