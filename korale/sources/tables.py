@@ -16,12 +16,18 @@ from korale.functions.text import strip
 def read_records(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """(records, bad lines) of JSON-lines files, with source_file (the file's stem) and source_line (from 1 within each file).
 
-    Blank lines are skipped. Lines are numbered per file from the file's own order.
+    Blank lines are skipped. Lines are numbered block by block, so a large file
+    is neither read nor sorted as one.
     """
-    text = spark.read.option("wholetext", True).text(path).select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1).alias("source_file"), "value")
-    lines = text.select("source_file", F.posexplode(F.split("value", r"\r?\n")).alias("p", "line")).filter(F.trim("line") != "")
+    stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1)
+    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), stem.alias("source_file"), "value", F.monotonically_increasing_id().alias("m"))
+    local = F.row_number().over(Window.partitionBy("f", "b").orderBy("m"))
+    blocks = rows.groupBy("f", "b").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("f").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    lines = rows.withColumn("r", local).join(blocks.withColumn("o", before).drop("n"), ["f", "b"])
+    lines = lines.select("source_file", (F.col("r") + F.col("o")).alias("source_line"), F.col("value").alias("line")).filter(F.trim("line") != "")
     full = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
-    parsed = lines.select("source_file", (F.col("p") + 1).alias("source_line"), "line", F.from_json("line", full, {"columnNameOfCorruptRecord": "_bad"}).alias("r"))
+    parsed = lines.select("source_file", "source_line", "line", F.from_json("line", full, {"columnNameOfCorruptRecord": "_bad"}).alias("r"))
     wrong = F.col("r").isNull() | F.col("r._bad").isNotNull()
     return parsed.filter(~wrong).select("r.*", "source_file", "source_line").drop("_bad"), parsed.filter(wrong).select("source_file", "source_line", "line")
 
