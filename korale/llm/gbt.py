@@ -77,6 +77,8 @@ def fit(
     w = np.ones(len(y)) if weight is None else np.asarray(weight, dtype=np.float64)
     monotone = monotone or {}
     n, k = x.shape
+    if not n:  # nothing to learn from: one leaf of value 0
+        return Forest(np.array([-1], np.int16), np.zeros(1, np.float32), np.array([-1], np.int32), np.zeros(1), np.zeros(1, np.int32), depth, 0.0, logistic, names)
     cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1], method="lower")) for j in range(k)]
     binned = np.stack([np.searchsorted(c, x[:, j], side="left") for j, c in enumerate(cuts)], axis=1).astype(np.int64)
     width = bins + 1

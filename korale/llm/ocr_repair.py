@@ -132,7 +132,7 @@ def pages(segments: DataFrame) -> DataFrame:
         "source_path", F.col("page_or_image").alias("page"), "text", F.coalesce(F.col("extraction_method").isin(*SCANNED), F.lit(False)).alias("scanned")
     )
     once = segments.filter("segment_id is not null").groupBy("segment_id").agg(F.min_by(item, F.coalesce("text", F.lit(""))).alias("r"))
-    return once.select("segment_id", "r.*").filter("trim(text) != ''")
+    return once.select("segment_id", "r.*").filter(F.col("text").rlike(r"(?U)\S"))
 
 
 def word_counts(page: DataFrame) -> DataFrame:
@@ -223,6 +223,8 @@ def edge_lines(page: DataFrame) -> DataFrame:
             for seg, path, no, text in zip(b.segment_id, b.source_path, b.page, b.text, strict=True):
                 lines = text.split("\n")
                 at = [i for i, s in enumerate(lines) if s.strip()]
+                if not at:
+                    continue
                 width = max(20, int(np.quantile([len(lines[i].strip()) for i in at], 0.9)))
                 for top in (True, False):
                     for depth in range(min(2, len(at))):
@@ -491,6 +493,8 @@ def fit_join(lexicon: list[tuple[str, int, int]], inside: list[tuple[str, str]],
     n = {w: t for w, _, t in lexicon}
     x, y = [], []
     words = [w for w in n if len(w) >= 4]
+    if not words:
+        return None
     for w in rng.sample(words, min(3000, len(words))):
         i = w.index("-") if "-" in w and rng.random() < 0.5 else rng.randint(2, len(w) - 2)
         left, right = (w[:i], w[i + 1 :]) if w[i] == "-" else (w[:i], w[i:])
@@ -502,8 +506,6 @@ def fit_join(lexicon: list[tuple[str, int, int]], inside: list[tuple[str, str]],
     for left, right in none:
         x.append([n.get(left + right, 0), n.get(f"{left}-{right}", 0), n.get(left, 0), n.get(right, 0), 0.0])
         y.append(0.0)
-    if not words:
-        return None
     return gbt.fit(np.log1p(np.array(x)), np.array(y), logistic=True, trees=40, depth=4, names=JOIN_FEATURES)
 
 
