@@ -129,7 +129,7 @@ def test_collapse_signals():
     loop = "te tala o te fale " * 40
     assert collapse.score(loop) > 0.75 and collapse.signals(loop)["unique"] and collapse.signals(loop)["phrase"]
     varied = " ".join(f"w{i}" for i in range(200))
-    assert collapse.score(varied) == 0.0 and not any(collapse.signals(varied).values())
+    assert collapse.score(varied) < 0.01 and not any(collapse.signals(varied).values())
     tail = varied + " " + "again and again we go " * 20
     assert collapse.signals(tail)["tail"]
     assert collapse.score(None) == 0.0 and not any(collapse.signals("").values())
