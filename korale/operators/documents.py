@@ -125,3 +125,67 @@ def islands(lines: DataFrame, group: str, order: str, label: Column) -> DataFram
     rows = rows.withColumn("_c", F.when(F.lag("_l").over(w).eqNullSafe(F.col("_l")), 0).otherwise(1))
     rows = rows.withColumn("island", F.sum("_c").over(w))
     return rows.groupBy(group, "island").agg(F.min("_l").alias("label"), F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("lines"))
+
+
+def lead(text: Column) -> Column:
+    """The first sentence of 18 or more characters, else the first."""
+    every = sentences(drop_blank_lines(text))
+    return F.coalesce(F.get(F.filter(every, lambda s: F.length(s) >= 18), F.lit(0)), F.get(every, F.lit(0)))
+
+
+def quote(text: Column) -> Column:
+    """The first quoted stretch of 8 or more characters."""
+    got = F.regexp_extract(text, r"[“\"]([^”\"]{8,})[”\"]", 1)
+    return F.when(got != "", got)
+
+
+def entity_rows(bundle: DataFrame, entity_limit: int = 24, number_limit: int = 12) -> DataFrame:
+    """doc_id, kind, value, place: the first entities and numbers of each document."""
+    kinds = F.array(
+        F.struct(F.lit("entity").alias("kind"), F.slice(entities(F.col("text")), 1, entity_limit).alias("v")), F.struct(F.lit("number").alias("kind"), F.slice(numbers(F.col("text")), 1, number_limit).alias("v"))
+    )
+    each = bundle.select("doc_id", F.inline(kinds))
+    return each.select("doc_id", "kind", F.posexplode("v").alias("place", "value"))
+
+
+def entries(lines: DataFrame, group: str, order: str, text: str, starts: Column) -> DataFrame:
+    """Lines gathered from one starting line to the next: group, entry, lines, text. Lines before the first start are entry 0."""
+    w = Window.partitionBy(group).orderBy(order)
+    rows = lines.withColumn("entry", F.sum(starts.cast("int")).over(w))
+    parts = F.array_sort(F.collect_list(F.struct(order, text)))
+    return rows.groupBy(group, "entry").agg(F.count("*").alias("lines"), F.array_join(F.transform(parts, lambda p: p[text]), " ").alias("text"))
+
+
+def articles_of_pages(lines: DataFrame, group: str, order: str, text: str, least: int = 100) -> DataFrame:
+    """Articles of a document's lines: a heading starts one; those with less than `least` characters of text are dropped."""
+    got = entries(lines.filter(F.trim(text) != ""), group, order, text, is_heading(F.col(text)))
+    return got.filter(F.length("text") >= least)
+
+
+def _drop_first(t: Column, part: Column) -> Column:
+    at = F.position(part, t)
+    return F.when(at > 0, F.trim(F.concat(F.substring(t, F.lit(1), at - 1), F.substring(t, at + F.length(part), F.length(t))))).otherwise(t)
+
+
+def negatives(rows: DataFrame, chosen: str, paired: str) -> DataFrame:
+    """rows with rejected and tags: controlled corruptions of an answer.
+
+    The paired text's summary where there is one, else the answer without its
+    first entity; in either the first number dropped; a sentence added where
+    nothing has changed, and a remark in English where nothing is paired.
+    Each step is a column of its own, so that no expression is repeated.
+    """
+    rows = rows.withColumns(
+        {"_pair": F.coalesce(F.col(paired) != "", F.lit(False)), "_e": F.get(entities(F.col(chosen)), F.lit(0)), "_n": F.get(numbers(F.col(chosen)), F.lit(0)), "_s": summary(F.col(paired))}
+    )
+    rows = rows.withColumn("_b", F.when(F.col("_pair"), F.col("_s")).when(F.col("_e").isNotNull(), _drop_first(F.col(chosen), F.col("_e"))).otherwise(F.col(chosen)))
+    rows = rows.withColumn("_c", F.when(F.col("_n").isNotNull(), _drop_first(F.col("_b"), F.col("_n"))).otherwise(F.col("_b")))
+    same = F.col("_c") == F.col(chosen)
+    rows = rows.withColumn("_d", F.when(same, F.concat(chosen, F.lit(" This extra sentence is not in the source."))).otherwise(F.col("_c")))
+    tags = (
+        ("wrong_language", F.col("_pair")), ("translationese", F.col("_pair")), ("entity_drop", ~F.col("_pair") & F.col("_e").isNotNull()),
+        ("dropped_numbers_dates", F.col("_n").isNotNull()), ("unsupported_hallucination", same), ("english_leakage", ~F.col("_pair")),
+    )
+    rows = rows.withColumn("tags", F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in tags])))
+    rejected = F.when(F.col("_pair"), F.col("_d")).otherwise(F.concat("_d", F.lit(" Please note the original report.")))
+    return rows.withColumn("rejected", rejected).drop("_pair", "_e", "_n", "_s", "_b", "_c", "_d")

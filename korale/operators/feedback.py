@@ -98,3 +98,25 @@ def downsample(rows: DataFrame, key: str, order: tuple[str, ...], stride: int) -
     n = F.count("*").over(Window.partitionBy(key))
     rows = rows.withColumn("_r", F.row_number().over(w)).withColumn("_n", n)
     return rows.filter((F.col("_r") % stride == 1) | (F.col("_r") == F.col("_n"))).drop("_r", "_n")
+
+
+def article_events(rows: DataFrame) -> DataFrame:
+    """Article-level feedback with optional columns (helpful, rating, mode, correction, comment) as events; a text for helpful counts by its meaning, and null stays null."""
+    have = set(rows.columns)
+    first = lambda *names: F.coalesce(*[F.col(n).cast("string") for n in names if n in have], F.lit(None).cast("string"))
+    stated = F.lower(F.trim(first("helpful", "rating", "score")))
+    score = F.coalesce(stated.try_cast("double"), F.when(stated.isin("true", "yes", "y", "helpful"), 1.0).when(stated.isin("false", "no", "n", "unhelpful"), 0.0))
+    return rows.select("id", F.lit("article_feedback").alias("event_type"), "article_id", score.alias("score"), (score > 0).alias("helpful"), first("correction", "correction_text").alias("correction"), first("mode").alias("mode"))
+
+
+def with_corrections(events_: DataFrame) -> DataFrame:
+    """The events, and one more for each that has a correction."""
+    extra = events_.filter(F.trim("correction") != "").withColumns({"event_type": F.lit("correction"), "score": F.lit(None).cast("double"), "helpful": F.lit(None).cast("boolean")})
+    return events_.unionByName(extra)
+
+
+def votes(rows: DataFrame, prompts: DataFrame) -> DataFrame:
+    """Poll votes with their prompt; options that are no JSON list are kept as one raw option."""
+    parsed = F.from_json("options_json", "array<string>")
+    options = F.when(F.col("options_json").isNull(), F.array().cast("array<string>")).otherwise(F.coalesce(parsed, F.array("options_json")))
+    return rows.join(prompts.select("prompt_id", "question", options.alias("options")), "prompt_id", "left")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from korale.plans import analytics, corpus
+from korale.plans import analytics, corpus, more
 
 
 def queries() -> dict:
-    return {**corpus.QUERIES, **analytics.QUERIES}
+    return {**corpus.QUERIES, **analytics.QUERIES, **more.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**corpus.SQL, **analytics.SQL}
+    return {**corpus.SQL, **analytics.SQL, **more.SQL}

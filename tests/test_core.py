@@ -3,6 +3,8 @@ from __future__ import annotations
 import hashlib
 import math
 import os
+import random
+import re
 
 import pytest
 from pyspark.sql import Row
@@ -11,7 +13,8 @@ from pyspark.sql import types as T
 
 from korale.functions import folding
 from korale.functions import text as tx
-from korale.operators import chat, cleaning, collapse, documents, feedback, metrics, splitting
+from korale.functions import urls
+from korale.operators import chat, cleaning, collapse, documents, feedback, metrics, pairing, protect, selection, splitting
 from korale.sources import tables as src
 from korale.streaming import ingest
 
@@ -239,3 +242,87 @@ def test_streaming(spark, tmp_path):
     (tmp_path / "json/x.json").write_text('{"k": "a", "v": 1}\n{"k": "b"', encoding="utf-8")
     tail = ingest.tail_json(spark, str(tmp_path / "json"), rows.schema)
     assert ingest.run_to_end(tail, "tailed", "append", str(tmp_path / "cp2")).count() == 1
+
+
+def test_masks_round_trip(spark):
+    texts = ["Use `x = 1` and ```py\ncode {a}\n``` at https://a.b/c?d {name} $5 call(x) snake_case 12px", "plain words", "", None, '{"a": {"b": [1]}} <b>x</b>']
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", protect.mask_spans("t").alias("m"))
+    got = df.select("t", "m.masked", "m.spans", protect.unmask(F.col("m.masked"), F.col("m.spans")).alias("u")).collect()
+    assert [r.u for r in got] == texts and len(got[0].spans) >= 6 and "code" not in got[0].masked and got[1].masked == "plain words"
+    assert protect.problems("a long original text", "__PH_000__ {bad json}") == ["placeholder_leak", "invalid_json"]
+    assert protect.problems("```a```", "```b```") == ["code_block_mismatch"] and protect.problems("a long original text", "x") == ["length_ratio"] and protect.problems(None, None) == []
+
+
+def brute_pack(text: str) -> str:
+    parts = re.split(r"(?<=[.!?])\s+(?=[A-ZĀĒĪŌŪ\"“])", text)
+    if "\n\n" in text or len(text.split()) <= 100 or len(parts) <= 1:
+        return text
+    out, now = [], []
+    for s in parts:
+        now.append(s)
+        if sum(len(x.split()) for x in now) >= 100:
+            out.append(" ".join(now))
+            now = []
+    if now:
+        if out and sum(len(x.split()) for x in now) < 33:
+            out[-1] += " " + " ".join(now)
+        else:
+            out.append(" ".join(now))
+    return "\n\n".join(out)
+
+
+def test_paragraph_packing(spark):
+    rng = random.Random(1)
+    texts = [" ".join(" ".join(["Word"] + ["word"] * rng.randint(3, 30)) + "." for _ in range(n)) for n in (1, 3, 8, 12, 20, 33)] + ["", "a\n\nb"]
+    got = [r.p for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(urls.split_paragraphs(F.col("t")).alias("p")).collect()]
+    assert got == [brute_pack(t) for t in texts]
+
+
+def test_urls(spark):
+    get = lambda f, u: one(spark, f(F.col("u")), u=u)
+    assert get(urls.article_id, "https://x.y/football/news/11661/13500000/some-slug") == "13500000" and get(urls.article_id, "https://x.y/a/123456/b") == "123456"
+    assert get(urls.article_id, "https://x.y/a") is None and get(urls.section_id, "https://x.y/football/news/11661/1/s") == "11661"
+    assert get(urls.swap_resolution, "http://a/26/2048x1152/b/1x1/c") == "http://a/26/1600x900/b/1x1/c" and get(urls.relative, "https://a.b/c/d") == "/c/d"
+    assert get(lambda u: urls.kind(u, [("a", "/a/"), ("b", "/")]), "x/a/") == "a"
+
+
+def test_macrons(spark):
+    words_ = spark.createDataFrame([("fālē",), ("tala",), ("tālā",), ("Mōū",), ("two wōrds",)], "tvl string")
+    forms = pairing.macron_map(words_)
+    assert {(r.bare, r.form) for r in forms.collect()} == {("fale", "fālē"), ("mou", "mōū")}
+    rows = spark.createDataFrame([(1, "Fale, FALE tala!"), (2, "no  change"), (3, None)], "id int, t string")
+    assert {r.id: r.t for r in pairing.correct_macrons(rows, "id", "t", forms).collect()} == {1: "Fālē, FĀLĒ tala!", 2: "no  change", 3: None}
+
+
+def test_pairing(spark):
+    rows = [("a", "tvl", 1, "x" * 10), ("a", "en", 1, "y" * 20), ("b", "tvl", 1, "x" * 60), ("b", "en", 1, "y" * 30), ("b", "en", 2, "y" * 30), ("c", "tvl", 1, "x")]
+    got = {(r.g, r.place): r.confidence for r in pairing.by_place(spark.createDataFrame(rows, "g string, s string, n int, t string"), "g", "s", "n", "t").collect()}
+    assert got == {("a", 1): 0.75, ("b", 0): 0.4}
+    lines = [("g", i, lang, f"{lang}{i}") for i, lang in enumerate(["en", "tvl", "en", "en", "tvl", "tvl"])]
+    pairs = {(r.tvl, r.en) for r in pairing.alternating(spark.createDataFrame(lines, "g string, n int, l string, t string"), "g", "n", "l", "t").collect()}
+    assert pairs == {("tvl1", "en0"), ("tvl4", "en3")}
+    numbered = [("g", "en", "1. one"), ("g", "tvl", "1) tasi"), ("g", "en", "2 two"), ("g", "tvl", "none")]
+    assert [(r.number, r.en, r.tvl) for r in pairing.by_number(spark.createDataFrame(numbered, "g string, s string, t string"), "g", "s", "t").collect()] == [(1, "1. one", "1) tasi")]
+
+
+def test_allocation():
+    assert selection.allocate({"a": 1000, "b": 100, "c": 50}, {"a": 0.4, "b": 0.4, "c": 0.2}) == {"a": 1000, "b": 100, "c": 50}
+    assert selection.allocate({}, {"a": 1.0}) == {"a": 0} and selection.allocate({"a": 5}, {}) == {}
+    with pytest.raises(ValueError):
+        selection.origin_allowed(None, "none", {})
+
+
+def test_events_of_articles(spark):
+    rows = spark.createDataFrame([(1, "a", "yes", None), (2, "a", "0", "better text"), (3, "b", None, " ")], "id int, article_id string, helpful string, correction string")
+    got = sorted((r.id, r.event_type, r.score, r.helpful) for r in feedback.with_corrections(feedback.article_events(rows)).collect() if r.score is not None or r.event_type == "correction")
+    assert got == [(1, "article_feedback", 1.0, True), (2, "article_feedback", 0.0, False), (2, "correction", None, None)]
+    v = spark.createDataFrame([(1, "p"), (2, "q"), (3, "r")], "id int, prompt_id string")
+    p = spark.createDataFrame([("p", "?", '["a", "b"]'), ("q", "?", "raw")], "prompt_id string, question string, options_json string")
+    assert {r.id: r.options for r in feedback.votes(v, p).collect()} == {1: ["a", "b"], 2: ["raw"], 3: None}
+
+
+def test_negatives(spark):
+    rows = spark.createDataFrame([(1, "Ne fano a Sione Lama i te 12 aso", None), (2, "seai", "The report says so. It is long. More."), (3, "seai se tino", None)], "id int, chosen string, paired string")
+    got = {r.id: (r.rejected, r.tags) for r in documents.negatives(rows, "chosen", "paired").collect()}
+    assert got[1][1] == ["entity_drop", "dropped_numbers_dates", "english_leakage"] and "12" not in got[1][0]
+    assert got[2] == ("The report says so. It is long.", ["wrong_language", "translationese"]) and got[3][1] == ["unsupported_hallucination", "english_leakage"]
