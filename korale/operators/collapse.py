@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from korale.session import spread
+
 # Sizes and limits of the detectors.
 LEAST_WORDS, UNIQUE_LIMIT, TOP_LIMIT = 20, 0.3, 0.4
 TAIL, TAIL_UNIQUE, TAIL_TOP = 80, 0.25, 0.10
@@ -94,7 +96,7 @@ def collapse(rows: DataFrame, key: str, *texts: str) -> DataFrame:
                 out.append((k, round(max(score(t) for t in ts), 4), bool(found), found))
             yield pd.DataFrame(out, columns=[key, "collapse_score", "is_collapsed", "detectors"])
 
-    return rows.select(key, *texts).mapInPandas(run, f"`{key}` {kind}, collapse_score double, is_collapsed boolean, detectors array<string>")
+    return spread(rows.select(key, *texts)).mapInPandas(run, f"`{key}` {kind}, collapse_score double, is_collapsed boolean, detectors array<string>")
 
 
 def best_attempt(attempts: DataFrame, group: str, number: str, collapsed: Column) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from korale.functions import text as tx
 from korale.operators import chat, cleaning, collapse, documents, metrics, splitting
-from korale.session import table
+from korale.session import keyed, table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -460,7 +460,7 @@ def q01(spark, d):
     """Attempts against the article's last translation, as predictions and references."""
     t = table(spark, d, "translations").filter("article_id is not null")
     last = t.groupBy("article_id").agg(F.max_by("body_tvl", F.struct("attempt_number", "id")).alias("reference"))
-    return metrics.translation_metrics(t.join(last, "article_id"), "body_tvl", "reference", "attempt_number")
+    return metrics.translation_metrics(keyed(t.join(last, "article_id").select("body_tvl", "reference", "attempt_number", "id"), "id"), "body_tvl", "reference", "attempt_number")
 
 
 @query("q04_token_overlap", r"SELECT id, source_line, source_file, round(coalesce(len(list_intersect(a, b)) / nullif(len(a), 0), 0), 6) AS overlap FROM (SELECT id, source_line, source_file, list_distinct(list_filter(string_split_regex(lower(tvl), '[^\p{L}\p{N}]+'), w -> w <> '')) a, list_distinct(list_filter(string_split_regex(lower(en), '[^\p{L}\p{N}]+'), w -> w <> '')) b FROM aligned_pairs WHERE tvl IS NOT NULL AND en IS NOT NULL)")

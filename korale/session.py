@@ -62,3 +62,14 @@ def stored(df: DataFrame, label: str, partitions: int | None = None) -> DataFram
     path = os.path.join(shared_dir(spark), "korale", f"{label}-{uuid.uuid4().hex}")
     (df.coalesce(partitions) if partitions else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan over at least as many partitions as there are cores, for Python stages on small files; larger scans stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def keyed(df: DataFrame, *keys: str) -> DataFrame:
+    """df partitioned by keys into the session's number of shuffle partitions, which a later grouping by them reuses and AQE doesn't join into few."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
