@@ -40,7 +40,7 @@ from pyspark.sql.window import Window
 
 from korale.functions.folding import INVISIBLES
 from korale.llm import gbt
-from korale.session import stored, table
+from korale.session import keyed, stored, table
 
 SCANNED = ("tesseract_image_ocr", "existing_ocr_jsonl")
 FIT_LINES = 20_000  # bound of the lines for the furniture classifier
@@ -126,12 +126,18 @@ def is_number(word: str) -> bool:
 # --- pages
 
 
+def in_parts(b: pd.DataFrame, rows: int = 400) -> Iterator[pd.DataFrame]:
+    """A batch in parts, as the rows of many pages at once would fill a worker's memory."""
+    for i in range(0, len(b), rows):
+        yield b.iloc[i : i + rows]
+
+
 def pages(segments: DataFrame) -> DataFrame:
     """segment_id, source_path, page, text, scanned: each page once."""
     item = F.struct(
         "source_path", F.col("page_or_image").alias("page"), "text", F.coalesce(F.col("extraction_method").isin(*SCANNED), F.lit(False)).alias("scanned")
     )
-    once = segments.filter("segment_id is not null").groupBy("segment_id").agg(F.min_by(item, F.coalesce("text", F.lit(""))).alias("r"))
+    once = keyed(segments.filter("segment_id is not null"), "segment_id").groupBy("segment_id").agg(F.min_by(item, F.coalesce("text", F.lit(""))).alias("r"))
     return once.select("segment_id", "r.*").filter(F.col("text").rlike(r"(?U)\S"))
 
 
@@ -218,7 +224,7 @@ def edge_lines(page: DataFrame) -> DataFrame:
     """segment_id, line_no, inner, x: the features of the two first and two last lines of each scanned page, and of some inner lines."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in (part for whole in batches for part in in_parts(whole)):
             rows = []
             for seg, path, no, text in zip(b.segment_id, b.source_path, b.page, b.text, strict=True):
                 lines = text.split("\n")
@@ -314,7 +320,7 @@ def tokens(page: DataFrame, removed: DataFrame) -> DataFrame:
     rows = page.filter("scanned").select("segment_id", "text").join(gone, "segment_id", "left")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in (part for whole in batches for part in in_parts(whole)):
             out = []
             for seg, text, gone in zip(b.segment_id, b.text, b.gone, strict=True):
                 out += [(seg, *t) for t in page_tokens(text, set() if gone is None else set(gone))]
@@ -410,6 +416,13 @@ def fit_ranker(lexicon: list[tuple[str, int, int]], odd: list[tuple[str, int]],
     rates = {d: float(np.log(n / total)) for d, n in counts.items()}
     kinds, weights = list(counts), list(counts.values())
     xs, ys = [], []
+
+    def add(x: np.ndarray, y: list[float]) -> None:
+        # to learn from, the strongest candidates and the right one are enough
+        keep = sorted({*np.argsort(-(x[:, 0] + 0.5 * x[:, 5]), kind="stable")[:6].tolist(), *[i for i, v in enumerate(y) if v]})
+        xs.append(x[keep])
+        ys.extend(y[i] for i in keep)
+
     known = {w for w, _, _ in lexicon}
     pool = [x for x in lexicon if x[2] >= 4]
     for k in range(min(3000, 6 * len(pool))):
@@ -423,14 +436,12 @@ def fit_ranker(lexicon: list[tuple[str, int, int]], odd: list[tuple[str, int]],
         found = look(bad)
         if bad in known or w not in {f[0] for f in found}:
             continue
-        xs.append(_rank_rows(bad, 0, 1 + (rng.random() < 0.1), found, rates))
-        ys += [float(f[0] == w) for f in found]
+        add(_rank_rows(bad, 0, 1 + (rng.random() < 0.1), found, rates), [float(f[0] == w) for f in found])
     for k in range(3000):
         w, c, n = rng.choice(lexicon)
         if found := look(w):
             rare = k % 3 > 0  # as if no clean page had it, and few scanned ones
-            xs.append(_rank_rows(w, 0 if rare else c, rng.randint(1, 3) if rare else n - c, found, rates))
-            ys += [0.0] * len(found)
+            add(_rank_rows(w, 0 if rare else c, rng.randint(1, 3) if rare else n - c, found, rates), [0.0] * len(found))
     if not xs or not any(ys):
         return None
     return Ranker(rates, gbt.fit(np.concatenate(xs), np.array(ys), logistic=True, trees=80, depth=5, names=RANK_FEATURES))
