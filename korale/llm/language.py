@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from korale.functions.folding import fold
-from korale.session import table
+from korale.session import keyed, table
 
 LANGUAGES = ("tvl", "en", "sm", "gil")
 SPELLINGS = {
@@ -202,7 +202,7 @@ def paragraph_languages(segments: DataFrame, filters: LanguageFilters | None = N
             yield pd.DataFrame(rows, columns=["source_path", "segment_id", "para_no", "words", "lang", "confidence", "evidence"])
 
     # a page delivered twice has the same text; one delivery is enough
-    once = segments.groupBy("segment_id").agg(F.min_by(F.struct("source_path", "text"), F.coalesce("text", F.lit(""))).alias("r"))
+    once = keyed(segments, "segment_id").groupBy("segment_id").agg(F.min_by(F.struct("source_path", "text"), F.coalesce("text", F.lit(""))).alias("r"))
     return once.select("r.source_path", "segment_id", "r.text").mapInPandas(run, PARAGRAPH_SCHEMA)
 
 

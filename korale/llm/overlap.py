@@ -114,7 +114,7 @@ def records(pairs: DataFrame) -> DataFrame:
                     if (side, cls, ev) in first:
                         null.append(True)
                     else:
-                        if len(first) < 4_000_000:  # beyond, a copy may be keyed twice, which changes no result
+                        if len(first) < 1_000_000:  # beyond, a copy may be keyed twice, which changes no result
                             first.add((side, cls, ev))
                         null.append(False)
                         for x in w:

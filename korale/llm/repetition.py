@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from korale.llm import gbt
-from korale.session import table
+from korale.session import spread, table
 
 STRETCH = 5  # words
 FIT_ROWS = 3000  # bound of the sample that the trees are fitted on
@@ -142,7 +142,7 @@ def repetition(texts: DataFrame, key: str = "id", text: str = "body_tvl") -> Dat
                 share[i] = repeated_share(b.t.iloc[i])
             yield pd.DataFrame({key: b.k, "estimate": estimate, "repeated_share": share})
 
-    return texts.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInPandas(
+    return spread(texts.select(F.col(key).alias("k"), F.col(text).alias("t"))).mapInPandas(
         score, f"`{key}` {kind}, estimate double, repeated_share double"
     )
 
