@@ -46,10 +46,11 @@ SCANNED = ("tesseract_image_ocr", "existing_ocr_jsonl")
 FIT_LINES = 20_000  # bound of the lines for the furniture classifier
 FIT_WORDS = 8_000  # bound of the lexicon words for the join classifier and the ranking
 LEXICON = 2  # occurrences from which a word of clean pages is in the lexicon
-LEXICON_SCANNED = 6  # the same for words of scanned pages only
+LEXICON_SCANNED = 6, 2e-5  # the same for words of scanned pages only: at least so many, and so large a share of their words; a misread form stays below it
 FURNITURE = 0.5  # probability from which a line is furniture
 JOIN = 0.5
 REPLACE = 0.5
+MISREAD_RATE = 0.0006  # share of a word's occurrences that are misread in one certain way, for the examples to learn from
 COMMON_GRAMS = 0.4  # share of a form's q-grams that a candidate must have
 
 _HYPHENS = "-\u2010\u00ac\u00ad\u2011"
@@ -390,7 +391,7 @@ class Ranker:
 
 def fit_ranker(lexicon: list[tuple[str, int, int]], odd: list[tuple[str, int]], seed: int = 5) -> Ranker | None:
     """lexicon: (word, clean, all); odd: (form, occurrences) that no clean page has."""
-    rng = random.Random(seed)
+    rng, draws = random.Random(seed), np.random.default_rng(seed)
     index: dict[str, list[int]] = defaultdict(list)
     sizes = []
     for i, (w, _, _) in enumerate(lexicon):
@@ -436,7 +437,9 @@ def fit_ranker(lexicon: list[tuple[str, int, int]], odd: list[tuple[str, int]],
         found = look(bad)
         if bad in known or w not in {f[0] for f in found}:
             continue
-        add(_rank_rows(bad, 0, 1 + (rng.random() < 0.1), found, rates), [float(f[0] == w) for f in found])
+        # a common word is misread in the same way more than once
+        times = 1 + int(draws.poisson(MISREAD_RATE * n)) + (rng.random() < 0.1)
+        add(_rank_rows(bad, 0, times, found, rates), [float(f[0] == w) for f in found])
     for k in range(3000):
         w, c, n = rng.choice(lexicon)
         if found := look(w):
@@ -524,9 +527,10 @@ def repairs(segments: DataFrame) -> DataFrame:
     """segment_id, line_no, kind, word, form: every repair of the scanned pages; form is what stands there."""
     page = stored(pages(segments), "pages")
     counts = stored(word_counts(page), "counts")
-    lexicon = counts.filter(((F.col("clean") >= LEXICON) | (F.col("clean") + F.col("scan") >= LEXICON_SCANNED)) & F.col("form").rlike(r"^\p{L}+(-\p{L}+)*$")).select(
-        F.col("form").alias("word"), "clean", (F.col("clean") + F.col("scan")).alias("total")
-    )
+    words = counts.agg(F.sum("scan")).first()[0] or 0
+    often = max(LEXICON_SCANNED[0], LEXICON_SCANNED[1] * words)
+    whole = (F.col("clean") >= LEXICON) | ((F.col("clean") >= 1) & (F.col("scan") >= 3)) | (F.col("scan") >= often)
+    lexicon = counts.filter(whole & F.col("form").rlike(r"^\p{L}+(-\p{L}+)*$")).select(F.col("form").alias("word"), "clean", (F.col("clean") + F.col("scan")).alias("total"))
     removed = stored(furniture(page), "furniture")
     found = stored(tokens(page, removed), "tokens")
     ends = found.filter("kind = 'h'").withColumn("kept", F.concat_ws("-", "left", "right"))
