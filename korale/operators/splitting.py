@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from korale.functions.text import bucket, comparison_form, ngrams, tokens
+from korale.session import stored
 
 # Held-out books, and the shares of other rows.
 TEST_BOOKS, VALIDATION_BOOKS = (8, 57, 65), (31, 37, 56, 63, 64)
 VALIDATION_BOOKS_A = (31, 63, 64)
 TEST_SHARE, VALIDATION_SHARE = 0.05, 0.05
 NGRAM, CONTAINMENT = 10, 0.6
+FEW_KEYS = 1_000_000  # hashes and keys up to which they are looked up through a broadcast
 
 
 def _given(c: str) -> Column:
@@ -88,20 +90,43 @@ def sides(pairs: DataFrame, *keep: str) -> DataFrame:
     return pairs.select("id", *keep, F.inline(both))
 
 
-def contamination(train: DataFrame, held: DataFrame, n: int = NGRAM, containment: float = CONTAINMENT) -> DataFrame:
+def _looked_up(keys: DataFrame) -> DataFrame:
+    """keys for a semi or anti join: broadcast where they are few, which spares shuffling the texts."""
+    return F.broadcast(keys) if keys.count() <= FEW_KEYS else keys
+
+
+def _runs(k: int, *also: Column) -> Column:
+    """Hashes of all runs of k of the words."""
+    runs = F.transform(F.sequence(F.lit(1), F.size("words") - (k - 1)), lambda i: F.xxhash64(F.lit(k), *also, F.slice("words", i, F.lit(k))))
+    return F.when(F.size("words") >= k, runs).otherwise(F.array().cast("array<bigint>"))
+
+
+def _near(rows: DataFrame, texts: DataFrame, n: int, lead: int) -> DataFrame:
+    """(id, side) of the rows that may share n words with a text, or the first `lead` ones of a shorter text of the same side; by hashes, so nothing is missed and a few are too many."""
+    texts = texts.withColumn("words", tokens(F.col("form")))
+    short = texts.filter(F.size("words").between(4, n - 1)).select(F.xxhash64(F.lit(lead), "side", F.slice("words", 1, lead)).alias("run"))
+    index = texts.select(F.explode(_runs(n)).alias("run")).unionByName(short).distinct()
+    own = rows.select("id", "side", tokens(F.col("form")).alias("words")).select("id", "side", F.explode(F.concat(_runs(n), _runs(lead, F.col("side")))).alias("run"))
+    return own.join(_looked_up(index), "run", "left_semi").select("id", "side").distinct()
+
+
+def contamination(train: DataFrame, held: DataFrame, n: int = NGRAM, containment: float = CONTAINMENT, exact: DataFrame | None = None) -> DataFrame:
     """id, side, level, matching, total: the first level on which a side of train meets held-out texts.
 
-    Levels: the exact text; a shared n-gram of either side; or, for held-out
-    texts of 4 to n - 1 words of the same side, its words in a row, or a run of
-    more than `containment` of them from its first word on.
+    Levels: the exact text, of `exact` if it is given; a shared n-gram of either
+    side; or, for held-out texts of 4 to n - 1 words of the same side, its words
+    in a row, or a run of more than `containment` of them from its first word on.
     """
-    rows, texts = sides(train).distinct(), sides(held).select("side", "form").distinct()
-    exact = texts.select(F.sha2("form", 256).alias("h")).distinct()
+    rows, texts = sides(train), sides(held).select("side", "form").distinct()
+    hashes = _looked_up((texts if exact is None else sides(exact)).select(F.sha2("form", 256).alias("h")).distinct())
     rows = rows.withColumn("h", F.sha2("form", 256))
-    hit = rows.join(exact, "h", "left_semi").select("id", "side", F.lit("exact_match").alias("level"), F.lit(None).cast("bigint").alias("matching"), F.lit(None).cast("bigint").alias("total"))
-    rest = rows.join(exact, "h", "left_anti").filter("form != ''").drop("h")
+    hit = _exact(rows, hashes)
+    rest = rows.join(hashes, "h", "left_anti").filter("form != ''").drop("h")
+    # few rows are near enough to be compared; their texts alone are shuffled
+    near = stored(_near(rest, texts, n, min(_lead(k, containment) for k in range(4, n))), "near")
+    rest = rest.join(_looked_up(near), ["id", "side"], "left_semi").distinct()
     index = texts.select(F.explode(ngrams(tokens(F.col("form")), n)).alias("gram")).distinct()
-    own = rest.select("id", "side", F.explode(ngrams(tokens(F.col("form")), n)).alias("gram"))
+    own = rest.select("id", "side", F.explode(ngrams(tokens(F.col("form")), n)).alias("gram")).distinct()
     total = own.groupBy("id", "side").agg(F.count("*").alias("total"))
     met = own.join(index, "gram", "left_semi").groupBy("id", "side").agg(F.count("*").alias("matching"))
     overlap = met.join(total, ["id", "side"]).select("id", "side", F.lit("ngram_overlap").alias("level"), "matching", "total")
@@ -111,7 +136,7 @@ def contamination(train: DataFrame, held: DataFrame, n: int = NGRAM, containment
     lead = F.greatest(F.lit(1), F.floor(F.lit(containment) * F.size("words")).cast("int") + 1)
     short = short.select("side", "words", lead.alias("lead"), F.array_join(F.slice("words", F.lit(1), lead), " ").alias("key")).distinct()
     words = tokens(F.col("form"))
-    runs = [rest.select("id", "side", F.explode(ngrams(words, k)).alias("key"), F.lit(k).alias("lead")) for k in range(3, n)]
+    runs = [rest.select("id", "side", F.explode(ngrams(words, k)).alias("key"), F.lit(k).alias("lead")) for k in sorted({_lead(m, containment) for m in range(4, n)})]
     every = runs[0]
     for r in runs[1:]:
         every = every.unionByName(r)
@@ -120,6 +145,25 @@ def contamination(train: DataFrame, held: DataFrame, n: int = NGRAM, containment
     return hit.unionByName(overlap).unionByName(inside)
 
 
+def _lead(words: int, containment: float) -> int:
+    """The first words of a short text that another must have in a row."""
+    return max(1, int(containment * words) + 1)
+
+
+def _exact(rows: DataFrame, hashes: DataFrame) -> DataFrame:
+    """The sides of rows (id, side, form, h) whose hash is listed, in the columns of contamination()."""
+    hit = rows.join(hashes, "h", "left_semi").select("id", "side", "h").distinct()
+    return hit.select("id", "side", F.lit("exact_match").alias("level"), F.lit(None).cast("bigint").alias("matching"), F.lit(None).cast("bigint").alias("total"))
+
+
+def decontamination(train: DataFrame, held: DataFrame, n: int = NGRAM, containment: float = CONTAINMENT) -> DataFrame:
+    """contamination() of all training rows (id, content_type, tvl, en): the exact text of any held-out row, and for rows that aren't verses also the n-grams and short texts of held-out verses."""
+    verse = F.coalesce(F.col("content_type") == "bible_verse", F.lit(False))
+    hashes = _looked_up(sides(held).select(F.sha2("form", 256).alias("h")).distinct())
+    verses = _exact(sides(train.filter(verse)).withColumn("h", F.sha2("form", 256)), hashes)
+    return contamination(train.filter(~verse), held.filter(verse), n, containment, held).unionByName(verses)
+
+
 def groups_in_several_splits(pairs: DataFrame, key: Column) -> DataFrame:
     """Groups whose rows stand in more than one split."""
     return pairs.groupBy(key.alias("group_key")).agg(F.count_distinct("split").alias("splits"), F.count("*").alias("rows")).filter("splits > 1")

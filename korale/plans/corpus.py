@@ -335,8 +335,9 @@ def g04(spark, d):
 
 @query("g05_decontaminate")
 def g05(spark, d):
-    train, held = _held(spark, d)
-    bad = splitting.contamination(train, held).groupBy("id").agg(F.array_sort(F.collect_set("level")).alias("levels"))
+    rows = pairs(spark, d).select("id", "content_type", "split", "tvl", "en")
+    train, held = rows.filter("split = 'train'"), rows.filter("split in ('validation', 'test')")
+    bad = splitting.decontamination(train, held).groupBy("id").agg(F.array_sort(F.collect_set("level")).alias("levels"))
     return train.select("id").distinct().join(bad, "id", "left").select("id", F.when(F.col("levels").isNull(), "train").otherwise("quarantined").alias("split"), F.coalesce(F.array_join("levels", ","), F.lit("")).alias("levels"))
 
 

@@ -15,6 +15,7 @@ from korale.functions import folding
 from korale.functions import text as tx
 from korale.functions import urls
 from korale.operators import chat, cleaning, collapse, documents, feedback, metrics, pairing, protect, selection, splitting
+from korale.plans import corpus
 from korale.sources import tables as src
 from korale.streaming import ingest
 
@@ -106,6 +107,27 @@ def test_contamination_levels(spark):
     assert got == {("t1", "tvl", "exact_match"), ("t2", "tvl", "ngram_overlap"), ("t3", "en", "high_containment")}
 
 
+def test_decontamination_checks_all_train_rows(spark, tmp_path):
+    verse = "one two three four five six seven eight nine ten eleven"
+    rows = [
+        ("h1", "bible_verse", "test", verse, "short verse of five words"),
+        ("h2", "daily_text", "validation", "held daily text", "a b c d e f g h i j k"),
+        ("t1", "article_paragraph", "train", "zero " + verse, "clean"),
+        ("t2", "daily_text", "train", "abc", "a short verse of five letters"),
+        ("t3", "translation_phrase", "train", "Held  daily text", "clean"),
+        ("t4", "word", "train", "clean", verse),
+        ("t5", None, "train", "short verse of five letters", "x short verse of five y"),
+        ("t6", "article_paragraph", "train", "short verse of five letters", "x a b c d e f g h i j k"),
+        ("v1", "bible_verse", "train", "zero " + verse, "short verse of five letters"),
+        ("v2", "bible_verse", "train", "held daily text", "clean"),
+        ("t7", "daily_text", "train", None, "clean words only"),
+    ]
+    spark.createDataFrame(rows, "id string, content_type string, split string, tvl string, en string").write.parquet(f"{tmp_path}/aligned_pairs.parquet")
+    got = {r.id: (r.split, r.levels) for r in corpus.g05(spark, str(tmp_path)).collect()}
+    bad = {"t1": "ngram_overlap", "t2": "high_containment", "t3": "exact_match", "t4": "exact_match", "t5": "high_containment", "v2": "exact_match"}
+    assert got == {r[0]: ("quarantined", bad[r[0]]) if r[0] in bad else ("train", "") for r in rows if r[2] == "train"}
+
+
 def test_budget_prefix_against_brute_force(spark):
     rows = [(f"k{i}", (i * 37) % 50 + 1) for i in range(300)]
     order = sorted(rows, key=lambda r: hashlib.sha256(r[0].encode()).hexdigest())
