@@ -254,6 +254,30 @@ def test_alignment_finds_merges_omissions_and_order(spark):
     assert alignment.sentence_pairs(df.limit(0)).count() == 0
 
 
+def test_alignment_knows_words_that_the_sample_lacks(spark, monkeypatch):
+    monkeypatch.setattr(alignment, "FIT_PAIRS", 30)
+    rng = random.Random(12)
+    ids = spark.createDataFrame([(f"q{k}",) for k in range(150)], "pair_id string").orderBy(F.xxhash64("pair_id"), "pair_id")
+    ids = [r.pair_id for r in ids.collect()]
+    rows, want = [], set()
+    for k, p in enumerate(ids):
+        rare = k >= 30 and k % 3 == 0  # a domain of its own, outside of the sample
+        words = [w[::-1] if rare else w for w in WORDS]
+        english = {w: f"e{'x' if rare else 'n'}{i}q" for i, w in enumerate(words)}
+        for n in range(1, 11):
+            w = [rng.choice(words) for _ in range(rng.randint(6, 12))]
+            b = " ".join(english[x] for x in w) + "."
+            rows.append((p, "tvl", n, " ".join(w) + "."))
+            if n != 3:  # an omission
+                rows.append((p, "en", n, b))
+                if rare:
+                    want.add((p, n, n))
+    df = spark.createDataFrame(rows, "pair_id string, side string, sent_no int, sentence string")
+    rare = {p for p, _, _ in want}
+    got = {(r.pair_id, r.tvl_no, r.en_no) for r in alignment.sentence_pairs(df).collect() if r.pair_id in rare}
+    assert len(got & want) / len(want) > 0.95 and len(got & want) / len(got) > 0.95
+
+
 # --- p6
 
 
