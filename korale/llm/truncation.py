@@ -8,10 +8,9 @@ opened quote) is set apart, and the rest is judged by its last mark: a
 terminator, or none. A missing terminator counts against the source's own
 baseline: where texts of a source usually end without one, or usually end with
 a closing tag, that is expected or demanded. Whether a text without terminator
-nevertheless ends a sentence is told by end statistics, fitted on a documented
-bounded sample (FIT_ROWS): how often a word, and the
-skeleton of the last words (frequent words kept, others by kind), ends a
-sentence.
+nevertheless ends a sentence is told by end statistics, counted over all
+rows: how often a word, and the skeleton of the last words (frequent words
+kept, others by kind), ends a sentence.
 
 Defined results: null and blank texts are never cut; repeated rows count once;
 other columns are ignored.
@@ -25,16 +24,19 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from korale.functions.folding import INVISIBLES, fold, unescape
-from korale.session import table
+from korale.session import stored, table
 
-FIT_ROWS = {"aligned_pairs": 8000, "articles": 1500}  # bounds of the samples for the end statistics
 FREQUENT = 90  # words that the skeleton keeps
 ORDERS = (7, 5, 4, 3, 2, 1)  # lengths of the skeleton, longest first
+BITS = 7  # of a word in a skeleton's code; FREQUENT + 4 stay below their power
+HELD = 500_000  # words that a task counts before it hands them on
+FORMULA = 5  # occurrences from which a short sentence is a formula
 LEAST = 10  # occurrences of a skeleton before it is used
 WHOLE = -3.0  # log odds from which an end without terminator is a sentence's end
 USUAL = 0.8  # share of a source's texts from which its lack of terminators is its baseline
@@ -106,45 +108,37 @@ def sentences(text: str) -> list[str]:
 
 
 class EndStatistics:
-    """How often words and skeletons end a sentence."""
-
-    def __init__(self, texts: Iterable[str]):
-        kept = [unescape(t) for t in texts if t and not t.isspace()]
-        seen: Counter[str] = Counter()
-        for t in kept:
-            seen.update(_WORD.findall(fold(t)))
-        self.frequent = {w for w, _ in seen.most_common(FREQUENT) if not w[0].isdigit()}
-        self.inside: Counter = Counter()
-        self.ends: Counter = Counter()
-        self.words: Counter[str] = Counter()
-        self.last: Counter[str] = Counter()
-        self.formulas: Counter[str] = Counter()
-        for t in kept:
-            caps = t.upper() == t
-            parts = sentences(t)
-            if not re.search(r"(?:^|[^.])[.!?][”\"»)\]\s]*(?:</\w+>\s*)*$", t):
-                parts = parts[:-1]
-            for s in (_GROUP.sub(" ", x) for x in parts):
-                low, skeleton = _sentence(s, self.frequent, caps)
-                if not low:
-                    continue
-                self.words.update(low)
-                self.last[low[-1]] += 1
-                if len(low) <= 6:
-                    self.formulas[" ".join(low)] += 1
-                for i in range(1, len(skeleton)):
-                    for k in ORDERS:
-                        if k > i + 1:
-                            continue
-                        key = tuple(skeleton[i - k + 1 : i + 1])
-                        self.inside[key] += 1
-                        if i == len(skeleton) - 1:
-                            self.ends[key] += 1
-        self.inside = Counter({k: n for k, n in self.inside.items() if n >= LEAST})
-        self.ends = Counter({k: n for k, n in self.ends.items() if k in self.inside})
-        self.words = Counter({w: n for w, n in self.words.items() if n >= SEEN})
-        self.formulas = Counter({k: n for k, n in self.formulas.items() if n >= 5})
-        self.rate = sum(self.last.values()) / max(1, self.words.total())
+    """How often words and skeletons end a sentence. A skeleton is coded in bits, BITS for each word, the last one lowest."""
+
+    def __init__(self, frequent: Iterable[str]):
+        self.frequent = set(frequent)
+        self.number = {w: i for i, w in enumerate(["^", "#", "C", "x", *sorted(self.frequent)], 1)}
+        self.codes, self.inside, self.ends = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.words: dict[str, tuple[int, int]] = {}  # occurrences, and those that end a sentence
+        self.formulas: set[str] = set()
+        self.rate = 0.0
+
+    def skeletons(self, found: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(codes, how often they occur, how often at an end) of the skeletons of ORDERS words in the sentences."""
+        flat = np.array([self.number[w] for s in found for w in s], np.int64)
+        size = np.array([len(s) for s in found], np.int64)
+        place = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
+        last = place == np.repeat(size, size) - 1
+        codes, ends = [], []
+        for k in ORDERS:
+            at = np.flatnonzero(place >= max(1, k - 1))
+            codes.append(sum(flat[at - t] << (BITS * t) for t in range(k)))
+            ends.append(last[at])
+        got, where, n = np.unique(np.concatenate(codes), return_inverse=True, return_counts=True)
+        return got, n, np.bincount(where, np.concatenate(ends), len(got)).astype(np.int64)
+
+    def known(self, skeleton: list[str]) -> tuple[int, int]:
+        """How often a skeleton occurs, and how often at an end; (0, 0) for rare ones."""
+        code = 0
+        for w in skeleton:
+            code = code << BITS | self.number[w]
+        at = int(np.searchsorted(self.codes, code))
+        return (int(self.inside[at]), int(self.ends[at])) if at < len(self.codes) and self.codes[at] == code else (0, 0)
 
     def log_odds(self, text: str) -> float:
         """Log odds that text, which has no terminator, stops at a sentence's end."""
@@ -158,16 +152,77 @@ class EndStatistics:
             return 9.0
         odds = -6.0
         for k in ORDERS:
-            if k <= len(skeleton) and (n := self.inside.get(tuple(skeleton[-k:]), 0)):
-                p = (self.ends.get(tuple(skeleton[-k:]), 0) + 0.01) / (n + 1)
+            if k <= len(skeleton) and (of := self.known(skeleton[-k:]))[0]:
+                p = (of[1] + 0.01) / (of[0] + 1)
                 odds = math.log(p / (1 - p))
                 break
         word = low[-1]
         if word[0].isdigit():
             return odds
-        if not (n := self.words.get(word, 0)):
+        if word not in self.words:
             return min(odds, 0.0) - 6.0
-        return odds + min(1.0, max(-3.0, math.log((self.last.get(word, 0) + 0.3) / (n * self.rate + 0.3))))
+        n, last = self.words[word]
+        return odds + min(1.0, max(-3.0, math.log((last + 0.3) / (n * self.rate + 0.3))))
+
+
+def _closed(text: str, frequent: set[str]) -> Iterator[tuple[list[str], list[str]]]:
+    """Words and skeletons of the sentences of text that have their end."""
+    parts = sentences(text)
+    if not re.search(r"(?:^|[^.])[.!?][”\"»)\]\s]*(?:</\w+>\s*)*$", text):
+        parts = parts[:-1]
+    caps = text.upper() == text
+    for s in (_GROUP.sub(" ", x) for x in parts):
+        low, skeleton = _sentence(s, frequent, caps)
+        if low:
+            yield low, skeleton
+
+
+def end_statistics(rows: DataFrame, text: str) -> EndStatistics:
+    """The end statistics of all texts; only what reaches its least count comes to the driver."""
+    texts = rows.select(F.col(text).alias("t")).filter("t is not null and trim(t) != ''")
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: Counter[str] = Counter()
+        for b in batches:
+            for t in b.t:
+                seen.update(_WORD.findall(fold(unescape(t))))
+            if len(seen) > HELD:
+                yield pd.DataFrame(seen.items(), columns=["w", "n"])
+                seen = Counter()
+        yield pd.DataFrame(seen.items(), columns=["w", "n"])
+
+    seen = texts.mapInPandas(count, "w string, n bigint").groupBy("w").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "w").limit(FREQUENT)
+    model = EndStatistics(r.w for r in seen.collect() if not r.w[0].isdigit())
+    columns = ["kind", "code", "w", "n", "ends"]
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            words: Counter[str] = Counter()
+            last: Counter[str] = Counter()
+            formulas: Counter[str] = Counter()
+            found = []
+            for t in b.t:
+                for low, skeleton in _closed(unescape(t), model.frequent):
+                    words.update(low)
+                    last[low[-1]] += 1
+                    if len(low) <= 6:
+                        formulas[" ".join(low)] += 1
+                    found.append(skeleton)
+            yield pd.DataFrame([("w", 0, w, n, last[w]) for w, n in words.items()] + [("f", 0, w, n, 0) for w, n in formulas.items()], columns=columns)
+            if found:
+                codes, n, ends = model.skeletons(found)
+                yield pd.DataFrame({"kind": "s", "code": codes, "w": "", "n": n, "ends": ends}, columns=columns)
+
+    counted = texts.mapInPandas(measure, "kind string, code bigint, w string, n bigint, ends bigint").groupBy("kind", "code", "w").agg(F.sum("n").alias("n"), F.sum("ends").alias("ends"))
+    counted = stored(counted.filter((F.col("kind") == "w") | (F.col("n") >= F.when(F.col("kind") == "s", LEAST).otherwise(FORMULA))), "ends")
+    ends = counted.filter("kind = 'w'").agg(F.sum("ends")).first()[0] or 0
+    got = counted.filter(F.col("n") >= SEEN).toPandas()
+    words, skeletons = got[got.kind == "w"], got[got.kind == "s"].sort_values("code")
+    model.words = {w: (int(n), int(e)) for w, n, e in zip(words.w, words.n, words.ends, strict=True)}
+    model.codes, model.inside, model.ends = (skeletons[c].to_numpy(np.int64) for c in ("code", "n", "ends"))
+    model.formulas = set(got.w[got.kind == "f"])
+    model.rate = ends / max(1, int(words.n.sum()))
+    return model
 
 
 def parts(text: str) -> tuple[str, bool, bool, list[str]]:
@@ -220,11 +275,6 @@ def judge(text: str | None, ends: EndStatistics, terminated: float, tag: float)
     return odds < WHOLE
 
 
-def _sample(rows: DataFrame, key: str, text: str, bound: int) -> list[str]:
-    picked = rows.select(F.col(key).cast("string").alias("k"), F.col(text).alias("t")).filter("t is not null")
-    return [r.t for r in picked.orderBy(F.xxhash64("k"), "k").limit(bound).select("t").collect()]
-
-
 def baselines(rows: DataFrame, source: str, text: str) -> DataFrame:
     """Per source: texts, and the shares that end with a terminator and with a tag."""
     t = F.rtrim(F.col(text))
@@ -239,7 +289,7 @@ def baselines(rows: DataFrame, source: str, text: str) -> DataFrame:
     )
 
 
-def truncated(rows: DataFrame, key: str, text: str, source: str, kinds: str | None = None, fit_rows: int = 8000) -> DataFrame:
+def truncated(rows: DataFrame, key: str, text: str, source: str, kinds: str | None = None) -> DataFrame:
     """One row per row of rows: key, source, cut (boolean).
 
     kinds names a column by whose value the statistics are not split but texts
@@ -247,7 +297,8 @@ def truncated(rows: DataFrame, key: str, text: str, source: str, kinds: str | No
     it is `word` or `expression` are never cut unless a mark is broken.
     """
     shares = {r.source: (r.terminated, r.tagged) for r in baselines(rows, source, text).orderBy(F.desc("texts"), "source").limit(MOST_SOURCES).collect()}
-    model = pickle.dumps((EndStatistics(_sample(rows.filter(~F.col(kinds).isin("word", "expression")) if kinds else rows, key, text, fit_rows)), shares))
+    short = F.coalesce(F.col(kinds).isin("word", "expression"), F.lit(False)) if kinds else F.lit(False)
+    model = pickle.dumps((end_statistics(rows.filter(~short), text), shares))
     kind = rows.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -264,7 +315,6 @@ def truncated(rows: DataFrame, key: str, text: str, source: str, kinds: str | No
             yield pd.DataFrame({key: b.k, "source": b.s, "cut": cut})
 
     plain = F.col(text).rlike(r"[^.][.!?]$") & ~F.col(text).rlike(MARKED)  # these are whole: a terminator and nothing to be left open
-    short = F.coalesce(F.col(kinds).isin("word", "expression"), F.lit(False)) if kinds else F.lit(False)
     return rows.select(F.col(key).alias("k"), F.when(~plain, F.col(text)).alias("t"), F.col(source).alias("s"), short.alias("short")).mapInPandas(
         run, f"`{key}` {kind}, source string, cut boolean"
     )
@@ -274,11 +324,11 @@ MOST_SOURCES = 10000  # sources whose own baseline is used, the largest first; b
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return truncated(table(spark, sf_dir, "aligned_pairs").select("id", "tvl", "source_file", "content_type"), "id", "tvl", "source_file", "content_type", FIT_ROWS["aligned_pairs"])
+    return truncated(table(spark, sf_dir, "aligned_pairs").select("id", "tvl", "source_file", "content_type"), "id", "tvl", "source_file", "content_type")
 
 
 def _articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return truncated(table(spark, sf_dir, "articles").select("id", "body_en", "source_id"), "id", "body_en", "source_id", None, FIT_ROWS["articles"])
+    return truncated(table(spark, sf_dir, "articles").select("id", "body_en", "source_id"), "id", "body_en", "source_id")
 
 
 def _found(cut: DataFrame, name: str) -> DataFrame:

@@ -281,6 +281,19 @@ def test_alignment_knows_words_that_the_sample_lacks(spark, monkeypatch):
 # --- p6
 
 
+def test_truncation_knows_words_that_a_sample_lacks(spark):
+    ids = spark.range(8600).select(F.concat(F.lit("r"), "id").alias("id"))
+    ids = [r.id for r in ids.orderBy(F.xxhash64("id"), "id").collect()]
+    rng = random.Random(13)
+    names = [f"zeli{a}{b}" for a in "abcdefghij" for b in "klmnop"]
+    rows = [(i, f"te {rng.choice(WORDS)} ne {rng.choice(WORDS)} ki {names[k % 60] if k >= 8000 else rng.choice(WORDS)}.", "s") for k, i in enumerate(ids)]
+    whole = {f"w{k}": f"te {rng.choice(WORDS)} ne {rng.choice(WORDS)} ki {w}" for k, w in enumerate(names)}
+    rows += [(i, t, "s") for i, t in whole.items()] + [("cut", "te kana ne kana ki zel", "s")]
+    df = spark.createDataFrame(rows, "id string, body string, src string")
+    got = {r.id for r in truncation.truncated(df, "id", "body", "src").filter("cut").collect()}
+    assert got == {"cut"}
+
+
 def test_open_marks():
     assert truncation.open_marks("“a (b) [c]” <p>x</p>") == []
     assert truncation.open_marks("“a (b") == ["“", "("]
