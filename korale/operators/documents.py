@@ -22,6 +22,8 @@ EN_HINTS = (
 PLACE_HINTS = ("funafuti", "nanumea", "nanumaga", "nui", "nukufetau", "nukulaelae", "niutao", "niulakita", "vaitupu", "tuvalu", "nanumean")
 LETTERS = "A-Za-zĀĒĪŌŪāēīōūʻ’'`-"
 ENTITY = f"[A-ZĀĒĪŌŪ][{LETTERS}]+(?:[ ][A-ZĀĒĪŌŪ][{LETTERS}]+){{0,5}}"
+MONTHS = ("Ianuali", "Fepuali", "Mati", "Apelila", "Mee", "Iuni", "Iulai", "Aokuso", "Setema", "Oketopa", "Novema", "Tesema")
+DATE = rf"(?U)\b(?:\d{{1,2}}\s+[A-Z][a-z]{{2,9}}\s+\d{{4}}|\d{{4}}|(?:{'|'.join(MONTHS)})\b)\b"
 STOP_ENTITIES = ("Tuvalu", "Page", "The", "A", "An", "Of", "For", "And", "No", "TVL", "EN", "PDF")
 
 
@@ -58,6 +60,18 @@ def entities(text: Column) -> Column:
     return F.array_distinct(F.filter(runs, lambda e: ~e.isin(*STOP_ENTITIES) & (F.length(e) >= 3)))
 
 
+def named(text: Column) -> Column:
+    """entities(), then the known places that text has in any case and that aren't among them."""
+    low = F.lower(text)
+    places = F.array_compact(F.array(*[F.when(low.contains(p), p.title()) for p in sorted(PLACE_HINTS)]))
+    return F.array_distinct(F.concat(entities(text), places))
+
+
+def dates(text: Column) -> Column:
+    """Days with their month and year, years and names of months, in order of first occurrence."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(DATE), 0))
+
+
 def numbers(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(r"\b(\d[\d,]*(?:\.\d+)?%?)"), 1))
 
@@ -139,11 +153,10 @@ def quote(text: Column) -> Column:
     return F.when(got != "", got)
 
 
-def entity_rows(bundle: DataFrame, entity_limit: int = 24, number_limit: int = 12) -> DataFrame:
-    """doc_id, kind, value, place: the first entities and numbers of each document."""
-    kinds = F.array(
-        F.struct(F.lit("entity").alias("kind"), F.slice(entities(F.col("text")), 1, entity_limit).alias("v")), F.struct(F.lit("number").alias("kind"), F.slice(numbers(F.col("text")), 1, number_limit).alias("v"))
-    )
+def entity_rows(bundle: DataFrame, entity_limit: int = 24, number_limit: int = 12, date_limit: int = 12) -> DataFrame:
+    """doc_id, kind, value, place: the first entities, dates and numbers of each document."""
+    of = (("entity", named, entity_limit), ("date", dates, date_limit), ("number", numbers, number_limit))
+    kinds = F.array(*[F.struct(F.lit(kind).alias("kind"), F.slice(found(F.col("text")), 1, limit).alias("v")) for kind, found, limit in of])
     each = bundle.select("doc_id", F.inline(kinds))
     return each.select("doc_id", "kind", F.posexplode("v").alias("place", "value"))
 

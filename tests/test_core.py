@@ -348,3 +348,16 @@ def test_negatives(spark):
     got = {r.id: (r.rejected, r.tags) for r in documents.negatives(rows, "chosen", "paired").collect()}
     assert got[1][1] == ["entity_drop", "dropped_numbers_dates", "english_leakage"] and "12" not in got[1][0]
     assert got[2] == ("The report says so. It is long.", ["wrong_language", "translationese"]) and got[3][1] == ["unsupported_hallucination", "english_leakage"]
+
+
+def test_entity_rows_have_dates_and_places(spark):
+    text = "Ne fano a Sione Lama ki funafuti i te 12 Iulai 1978 mai Nui. I a Mati 2001 ne foki mai vaitupu; 1978 e 45%."
+    rows = spark.createDataFrame([("d", text), ("e", "seai")], "doc_id string, text string")
+    got: dict = {}
+    for r in documents.entity_rows(rows).orderBy("doc_id", "kind", "place").collect():
+        got.setdefault((r.doc_id, r.kind), []).append(r.value)
+    assert got["d", "date"] == ["12 Iulai 1978", "Mati", "2001", "1978"]
+    assert got["d", "entity"] == ["Sione Lama", "Iulai", "Nui", "Mati", "Funafuti", "Vaitupu"]
+    assert got["d", "number"] == ["12", "1978", "2001", "45%"] and not any(k[0] == "e" for k in got)
+    many = " ".join(str(1900 + k) for k in range(20))
+    assert documents.entity_rows(spark.createDataFrame([("m", many)], "doc_id string, text string")).filter("kind = 'date'").count() == 12
