@@ -218,6 +218,14 @@ def test_repetition(spark):
     assert repetition.repetition(df.limit(0)).count() == 0
 
 
+def test_overlap_counts_every_delivery(spark, tmp_path):
+    same, other = " ".join(WORDS[:20]), " ".join(WORDS[20:40])
+    rows = [("t", "train", "a", same), ("e", "test", "a", same), ("e", "test", "b", same), ("e", "test", "b", same), ("f", "validation", "b", other)]
+    spark.createDataFrame([(i, t, None, "daily_text", s, f) for i, s, f, t in rows], "id string, tvl string, en string, content_type string, split string, source_file string").write.parquet(f"{tmp_path}/aligned_pairs.parquet")
+    got = {tuple(r) for r in overlap.p1_counts(spark, str(tmp_path)).select("split", "source_file", "rows", "overlapping_rows", "pairs").collect()}
+    assert got == {("test", "a", 1, 1, 1), ("test", "b", 1, 1, 1), ("validation", "b", 1, 0, 0)}
+
+
 # --- p5
 
 
