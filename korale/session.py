@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -60,10 +61,38 @@ def stored(df: DataFrame, label: str, partitions: int | None = None) -> DataFram
     """
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), "korale", f"{label}-{uuid.uuid4().hex}")
+    _STORED.append(path)
     (df.coalesce(partitions) if partitions else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_STORED: list[str] = []
+
+
+def clear_stored(spark: SparkSession) -> None:
+    """Deletes the tables that stored() has written in this process; for use when no query that reads them is left to run."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _STORED:
+        path = jvm.org.apache.hadoop.fs.Path(_STORED.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
+def sample(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """About `rows` rows of df, at least where it has so many, chosen by a hash of their keys; all rows of a smaller table.
+
+    The threshold follows from the number of rows, so each task hands on its
+    share only: nothing is sorted, and no task gathers the sample. The same
+    rows are chosen at every run, however the table is split. The number holds
+    for keys that are (nearly) unique.
+    """
+    total = df.count()
+    if total <= rows:
+        return df
+    # six standard deviations above the number wanted
+    share = min(1.0, (rows + 6 * rows**0.5) / total)
+    return df.filter(F.pmod(F.xxhash64(*keys), F.lit(1 << 40)) < int(share * (1 << 40)))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """A scan over at least as many partitions as there are cores, for Python stages on small files; larger scans stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism

@@ -8,7 +8,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from korale.session import local_session  # noqa: E402
+from korale.session import clear_stored, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -16,6 +16,7 @@ def spark():
     s = local_session(int(os.environ.get("TEST_CPUS", "4")), 4, "tests")
     s.sparkContext.setLogLevel("ERROR")
     yield s
+    clear_stored(s)
     s.stop()
 
 
