@@ -46,14 +46,14 @@ AGREE = 0.9
 STOPS = ("te", "ne", "i", "o", "e", "se", "mo", "ki", "ko", "a", "me", "ke", "kae", "mai", "the", "of", "and", "in", "for", "to", "on")
 BUCKETS = 1 << 16  # of the counts by which bigrams are ordered
 LONG = 100  # words from which a pair must share more than one key
-PARITIES = 54
+PARITIES = 53  # of a sketch, which has 64 bits: ten hold the length, one whether the text repeats itself
 FEW_PAIRS = 300_000  # candidates up to which their classes are looked up through a broadcast
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _hash(word: str) -> int:
-    return xxhash.xxh3_64_intdigest(word) - (1 << 63)
+def _hash(word: str, seed: int = 0) -> int:
+    return xxhash.xxh3_64_intdigest(word, seed) - (1 << 63)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -68,7 +68,7 @@ def loss(n: int) -> int:
 
 
 def need(n: int) -> int:
-    """Keys that a pair must share; more for long texts, which share some by chance."""
+    """Keys that a pair must share, unless a text has too few; more for long texts, which share some by chance."""
     return 1 if n < LONG else 2 + n // 50
 
 
@@ -105,7 +105,7 @@ def records(pairs: DataFrame) -> DataFrame:
                     w = words(text)
                     if len(w) < LEAST_WORDS:
                         continue
-                    cls = _hash(" ".join(w))
+                    cls = _hash(" ".join(w), side)
                     sides.append(side)
                     classes.append(cls)
                     ids.append(rid)
@@ -177,11 +177,11 @@ def common_buckets(rows: DataFrame) -> np.ndarray:
     return out.reshape(2, BUCKETS)
 
 
-def _sketch(values: np.ndarray, owner: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """PARITIES parities of each text's words, above ten bits for its length."""
+def _sketch(values: np.ndarray, owner: np.ndarray, n: np.ndarray, repeats: np.ndarray) -> np.ndarray:
+    """PARITIES parities of each text's words, above a bit for texts that repeat themselves and ten bits for the length."""
     bit = (_mix(values.view(np.uint64)) % np.uint64(PARITIES)).astype(np.int64)
     odd = np.bincount(owner * PARITIES + bit, minlength=len(n) * PARITIES).reshape(-1, PARITIES) & 1
-    return ((odd.astype(np.uint64) << np.arange(PARITIES, dtype=np.uint64)).sum(axis=1, dtype=np.uint64) << np.uint64(10)) | np.minimum(n, 1023).astype(np.uint64)
+    return ((odd.astype(np.uint64) << np.arange(PARITIES, dtype=np.uint64)).sum(axis=1, dtype=np.uint64) << np.uint64(11)) | repeats.astype(np.uint64) << np.uint64(10) | np.minimum(n, 1023).astype(np.uint64)
 
 
 def keys(rows: DataFrame, counts: np.ndarray) -> DataFrame:
@@ -210,12 +210,14 @@ def keys(rows: DataFrame, counts: np.ndarray) -> DataFrame:
                 limit = np.array([lost[k] if k < 4096 else loss(int(k)) for k in n], np.int64) + np.array([need(int(k)) for k in n], np.int64)
                 key, of, size = chosen(*_bigrams(values, owner, False), side, limit, 0)
                 few = size < limit  # these texts also need keys of all their words
+                repeats = np.zeros(len(n), bool)
                 if few.any():
                     some = few[owner]
-                    key2, of2, _ = chosen(*_bigrams(values[some], owner[some], True), side, limit, 1)
+                    key2, of2, size2 = chosen(*_bigrams(values[some], owner[some], True), side, limit, 1)
                     key, of = np.concatenate([key, key2]), np.concatenate([of, of2])
+                    repeats = few & (size2 < limit)
                 cls = b.column("cls").to_numpy(zero_copy_only=False)
-                sketch = _sketch(values, owner, n).view(np.int64)
+                sketch = _sketch(values, owner, n, repeats).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(cls[of]), pa.array(sketch[of])], names=["key", "cls", "sketch"])
 
     return rows.select("side", "cls", "tokens").mapInArrow(run, "key bigint, cls bigint, sketch bigint")
@@ -227,12 +229,13 @@ def candidates(rows: DataFrame, counts: np.ndarray) -> DataFrame:
     train = keys(texts.filter("not ev"), counts).select("key", F.col("cls").alias("a"), F.col("sketch").alias("sa"))
     held = keys(texts.filter("ev"), counts).select("key", F.col("cls").alias("b"), F.col("sketch").alias("sb"))
     na, nb = F.col("sa").bitwiseAND(F.lit(1023)), F.col("sb").bitwiseAND(F.lit(1023))
-    apart = F.bit_count(F.shiftrightunsigned(F.col("sa").bitwiseXOR(F.col("sb")), 10))
+    apart = F.bit_count(F.shiftrightunsigned(F.col("sa").bitwiseXOR(F.col("sb")), 11))
+    repeats = F.col("sa").bitwiseOR(F.col("sb")).bitwiseAND(F.lit(1024)) > 0
     whole = (na == 1023) | (nb == 1023)  # the length of a very long text isn't known here
     may = whole | ((apart * 10 <= na + nb) & (F.least(na, nb) * 20 >= (na + nb) * 9))
     met = train.join(held.hint("merge"), "key").filter((F.col("a") != F.col("b")) & may)
     enough = F.least(*[F.when(n < LONG, 1).otherwise(2 + F.floor(n / 50)) for n in (na, nb)])
-    return met.groupBy("a", "b", "sa", "sb").agg(F.count("*").alias("shared")).filter(F.col("shared") >= enough).select("a", "b").distinct()
+    return met.groupBy("a", "b", "sa", "sb").agg(F.count("*").alias("shared")).filter(repeats | (F.col("shared") >= enough)).select("a", "b").distinct()
 
 
 def _only(rows: DataFrame, wanted: DataFrame, bounded: bool) -> DataFrame:

@@ -77,6 +77,31 @@ def test_overlaps_against_brute_force(spark):
     assert got == want and len(want) > 20
 
 
+def test_overlaps_of_texts_on_both_sides_and_of_repetitive_texts(spark, monkeypatch):
+    rng = random.Random(4)
+    text, near = prose(rng, 40), None
+    near = text.split()
+    near[7] = "other"
+    near = " ".join(near)
+    rows = [("t1", "train", text, prose(rng, 30), "d", None), ("t2", "train", prose(rng, 30), text, "d", None), ("h1", "test", near, prose(rng, 30), "d", None)]
+    rows += [("r1", "train", "kolo " * 250, None, "d", None), ("q1", "test", "kolo " * 240, None, "d", None)]
+    rows += [("r2", "train", "te fale lei " * 100, None, "d", None), ("q2", "test", "te fale lei " * 95, None, "d", None)]
+    for i in range(30):  # sentences that stand on either side, with few different words
+        words = [rng.choice(("ko", "lua", "tolu", "fa")) for _ in range(rng.choice((14, 30, 110, 160)))]
+        sides = [" ".join(words), prose(rng, 20)]
+        rows.append((f"a{i}", "train", *(sides if rng.random() < 0.5 else sides[::-1]), "d", None))
+        for _ in range(len(words) // 14):
+            words[rng.randrange(len(words))] = "lima"
+        sides = [" ".join(words), prose(rng, 20)]
+        rows.append((f"b{i}", "validation", *(sides if rng.random() < 0.5 else sides[::-1]), "d", None))
+    want = brute_overlaps(rows)
+    assert {("t1", "h1"), ("r1", "q1"), ("r2", "q2")} <= want and ("t2", "h1") not in want
+    frame = spark.createDataFrame(rows, PAIRS)
+    assert {(r.id, r.ev_id) for r in overlap.overlaps(frame).collect()} == want
+    monkeypatch.setattr(overlap, "FEW_PAIRS", 0)  # the way for many candidates
+    assert {(r.id, r.ev_id) for r in overlap.overlaps(frame).collect()} == want
+
+
 def test_overlap_canonical_form(spark):
     a = "ʻĀ te fale lei &lsquo;o te tagata nei ne fau ki te kogakoga tena i Funafuti, 1999!"
     b = "a te FALE\xa0lei o  te ta\xadgata nei ne fau ki te kogakoga tenā i funafuti 1999"
