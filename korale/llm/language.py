@@ -11,9 +11,9 @@ segments): the labels may be wrong or the texts mixed, so an n-gram enters a
 language's filter only where its rate among that language's texts is at least
 RATIO of its highest rate in any language.
 
-Defined results: null, blank and wordless texts get a null language with
-confidence 0; a paragraph without words gets no row but keeps its number;
-repeated rows count once.
+Defined results: null, blank and wordless texts get no row; a paragraph without
+words gets no row but keeps its number; repeated rows count once; rows without
+segment_id are left out.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from korale.functions.folding import fold
-from korale.session import keyed, table
+from korale.session import sample, spread, stored, table
 
 LANGUAGES = ("tvl", "en", "sm", "gil")
 SPELLINGS = {
@@ -103,12 +103,9 @@ class LanguageFilters:
                 yield ((h + np.uint64(k) * step) & np.uint64((1 << BITS) - 1)).astype(np.int64)
 
     @classmethod
-    def fit(cls, hashes: np.ndarray, counts: np.ndarray, texts: np.ndarray, languages: tuple[str, ...]) -> LanguageFilters:
-        """counts[i, b]: the texts of language b with n-gram hashes[i]; texts[b]: all its texts."""
-        rate = counts / np.maximum(texts, 1)
-        has = (rate >= RATIO * rate.max(axis=1, keepdims=True)) & (counts >= np.minimum(LEAST, np.maximum(1, texts // 4)))
+    def fit(cls, hashes: np.ndarray, mask: np.ndarray, languages: tuple[str, ...]) -> LanguageFilters:
+        """mask[i]: the languages that have n-gram hashes[i]."""
         slots = np.zeros(1 << BITS, np.uint8)
-        mask = (has << np.arange(len(languages))).sum(axis=1).astype(np.uint8)
         for place in cls._places(hashes):
             np.bitwise_or.at(slots, place, mask)
         return cls(slots, languages)
@@ -145,114 +142,132 @@ class LanguageFilters:
 
 
 def fit(segments: DataFrame) -> LanguageFilters:
-    """Filters from FIT_ROWS labelled segments, in the order of a hash of their id."""
+    """Filters from about FIT_ROWS labelled segments, chosen by a hash of their id.
+
+    N-grams are counted in the tasks; the driver gets those that enter a filter,
+    as a hash and a bitmask each.
+    """
     named = segments.select("segment_id", "text", label(F.col("likely_language")).alias("l")).filter("l is not null and text is not null")
-    picked = named.orderBy(F.xxhash64("segment_id"), "segment_id", "text").limit(FIT_ROWS).select("l", "text").toPandas()
-    texts = np.zeros(len(LANGUAGES))
-    counted = [(np.zeros(0, np.uint64), np.zeros(0, np.int64)) for _ in LANGUAGES]
-    waiting: list[list[np.ndarray]] = [[] for _ in LANGUAGES]
-
-    def merge(b: int) -> None:
-        h, n = np.unique(np.concatenate(waiting[b]), return_counts=True) if waiting[b] else counted[b]
-        if waiting[b]:
-            both, at = np.unique(np.concatenate([counted[b][0], h]), return_inverse=True)
-            counted[b] = both, np.bincount(at, np.concatenate([counted[b][1], n])).astype(np.int64)
-            waiting[b].clear()
-
-    for lang, text in zip(picked.l, picked.text, strict=True):
-        b = LANGUAGES.index(lang)
-        if not (ps := paragraphs(text)):
-            continue
-        texts[b] += len(ps)
-        h, of = grams(ps)
-        with np.errstate(over="ignore"):
-            waiting[b].append(h[np.unique(h * np.uint64(31) + of.astype(np.uint64), return_index=True)[1]])  # once per paragraph
-        if sum(map(len, waiting[b])) > 1_000_000:
-            merge(b)
-    for b in range(len(LANGUAGES)):
-        merge(b)
-    hashes = np.unique(np.concatenate([c[0] for c in counted]))
-    if not len(hashes):
+    columns = [f"n_{b}" for b in range(len(LANGUAGES))]
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for whole in batches:
+            for start in range(0, len(whole), 200):
+                part = whole.iloc[start : start + 200]
+                for b, lang in enumerate(LANGUAGES):
+                    ps = [p for t in part.text[part.l == lang] for p in paragraphs(t)]
+                    if not ps:
+                        continue
+                    h, of = grams(ps)
+                    with np.errstate(over="ignore"):
+                        once = h[np.unique(h * np.uint64(31) + of.astype(np.uint64), return_index=True)[1]]  # once per paragraph
+                    h, n = np.unique(once, return_counts=True)
+                    out = pd.DataFrame(0, index=range(len(h) + 1), columns=columns, dtype=np.int64)
+                    out[f"n_{b}"] = np.append(n, len(ps))
+                    out.insert(0, "h", pd.array([*h.view(np.int64).tolist(), None], dtype="Int64"))  # the row without hash counts the paragraphs
+                    yield out
+
+    picked = spread(sample(named, FIT_ROWS, "segment_id").select("l", "text"))
+    counted = picked.mapInPandas(count, ", ".join(["h bigint", *(f"{c} bigint" for c in columns)]))
+    counted = stored(counted.groupBy("h").agg(*[F.sum(c).alias(c) for c in columns]), "grams")
+    paras = counted.filter("h is null").first()
+    if paras is None:
         return LanguageFilters(np.zeros(1 << BITS, np.uint8), LANGUAGES)
-    counts = np.zeros((len(hashes), len(LANGUAGES)), np.int64)
-    for b, (h, n) in enumerate(counted):
-        counts[np.searchsorted(hashes, h), b] = n
-    return LanguageFilters.fit(hashes, counts, texts, LANGUAGES)
+    texts = [paras[c] for c in columns]
+    rates = [F.col(c) / max(n, 1) for c, n in zip(columns, texts, strict=True)]
+    mask = sum(
+        F.when((r >= RATIO * F.greatest(*rates)) & (F.col(c) >= min(LEAST, max(1, n // 4))), 1 << b).otherwise(0)
+        for b, (c, r, n) in enumerate(zip(columns, rates, texts, strict=True))
+    )
+    got = counted.filter("h is not null").select("h", mask.alias("mask")).filter("mask != 0").toPandas()
+    return LanguageFilters.fit(got.h.to_numpy(np.int64).view(np.uint64), got["mask"].to_numpy(np.uint8), LANGUAGES)
+
 
+PARAGRAPHS = "array<struct<para_no int, words int, lang string, confidence double, evidence array<double>>>"
 
-PARAGRAPH_SCHEMA = "source_path string, segment_id string, para_no int, words int, lang string, confidence double, evidence array<double>"
 
+def segment_paragraphs(segments: DataFrame, filters: LanguageFilters | None = None) -> DataFrame:
+    """segment_id, source_path, named (the language of its label), paras: one row per segment; its paragraphs with words.
 
-def paragraph_languages(segments: DataFrame, filters: LanguageFilters | None = None) -> DataFrame:
-    """One row per paragraph with words of each segment."""
+    Texts are judged where they are read. A segment delivered twice counts once;
+    of several texts that of the least hash.
+    """
     model = pickle.dumps(filters or fit(segments))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         filters = pickle.loads(model)
         for b in batches:
-            found = []
-            for path, seg, text in zip(b.source_path, b.segment_id, b.text, strict=True):
-                for k, p in enumerate(paragraphs(text or ""), 1):
+            found, rows = [], []
+            for k, text in enumerate(b.text):
+                for n, p in enumerate(paragraphs(text or ""), 1):
                     if words := len(_LETTERS.findall(_BRACKET.sub(" ", p))):
-                        found.append((path, seg, k, words, p))
-            rows = []
+                        found.append((k, n, words, p))
+            of: list[list[dict]] = [[] for _ in range(len(b))]
             for i in range(0, len(found), 64):
                 part = found[i : i + 64]
-                rows += [(*x[:4], *got) for x, got in zip(part, filters.decide([x[4] for x in part]), strict=True)]
-            yield pd.DataFrame(rows, columns=["source_path", "segment_id", "para_no", "words", "lang", "confidence", "evidence"])
+                for (k, n, words, _), (lang, confidence, evidence) in zip(part, filters.decide([x[3] for x in part]), strict=True):
+                    of[k].append({"para_no": n, "words": words, "lang": lang, "confidence": confidence, "evidence": evidence})
+            rows = b[["segment_id", "source_path", "named", "h"]].assign(paras=of)
+            yield rows
+
+    rows = segments.filter("segment_id is not null").select("segment_id", "source_path", label(F.col("likely_language")).alias("named"), F.xxhash64("text").alias("h"), "text")
+    judged = spread(rows).mapInPandas(run, f"segment_id string, source_path string, named string, h bigint, paras {PARAGRAPHS}")
+    once = judged.groupBy("segment_id").agg(F.min_by(F.struct("source_path", "paras"), F.struct("h", "source_path")).alias("r"), F.min("named").alias("named"))
+    return once.select("segment_id", "r.source_path", "named", "r.paras").filter(F.size("paras") > 0)
+
+
+def _sums(paras: Column) -> list[Column]:
+    """The evidence for each language, over all paragraphs."""
+    return [F.aggregate(F.transform(paras, _evidence(i)), F.lit(0.0), lambda acc, x: acc + x).alias(x) for i, x in enumerate(LANGUAGES)]
+
 
-    # a page delivered twice has the same text; one delivery is enough
-    once = keyed(segments, "segment_id").groupBy("segment_id").agg(F.min_by(F.struct("source_path", "text"), F.coalesce("text", F.lit(""))).alias("r"))
-    return once.select("r.source_path", "segment_id", "r.text").mapInPandas(run, PARAGRAPH_SCHEMA)
+def _evidence(i: int):
+    return lambda p: p["evidence"][i]
 
 
-def _vote(rows: DataFrame, key: str) -> DataFrame:
-    """Per key the language with most evidence, and its share."""
-    sums = rows.groupBy(key).agg(*[F.sum(F.col("evidence")[i]).alias(x) for i, x in enumerate(LANGUAGES)])
+def _choice() -> tuple[Column, Column]:
+    """(the language with most evidence, its share), from a column of evidence for each language."""
     best = F.greatest(*LANGUAGES)
-    choice = F.coalesce(*[F.when((F.col(x) == best) & (best > 0), F.lit(x)) for x in LANGUAGES])
-    return sums.select(key, choice.alias("lang"), F.round(best / sum(F.col(x) for x in LANGUAGES), 4).alias("confidence"))
+    return F.coalesce(*[F.when((F.col(x) == best) & (best > 0), F.lit(x)) for x in LANGUAGES]), F.round(best / sum(F.col(x) for x in LANGUAGES), 4)
 
 
-def segment_languages(paragraph_rows: DataFrame) -> DataFrame:
-    """segment_id, lang, confidence, mixed: whether sure paragraphs are in several languages."""
-    sure = F.when((F.col("confidence") >= SURE) & (F.col("words") >= WORDS), F.col("lang"))
-    mixed = paragraph_rows.groupBy("segment_id").agg((F.count_distinct(sure) > 1).alias("mixed"))
-    return _vote(paragraph_rows, "segment_id").join(mixed, "segment_id")
+def _mixed(paras: Column) -> Column:
+    """Whether sure paragraphs are in several languages."""
+    sure = F.filter(paras, lambda p: (p["confidence"] >= SURE) & (p["words"] >= WORDS) & p["lang"].isNotNull())
+    return F.size(F.array_distinct(F.transform(sure, lambda p: p["lang"]))) > 1
+
+
+def segment_languages(segments: DataFrame, filters: LanguageFilters | None = None) -> DataFrame:
+    """segment_id, source_path, named, lang, confidence, mixed, paras and the evidence for each language, one row per segment."""
+    rows = segment_paragraphs(segments, filters)
+    lang, confidence = _choice()
+    rows = rows.select("*", _mixed(F.col("paras")).alias("mixed"), *_sums(F.col("paras")))
+    return rows.withColumns({"lang": lang, "confidence": confidence})
+
+
+def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "extracted_segments").select("source_path", "segment_id", "text", "likely_language")
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments in one language with a missing or wrong label; paragraphs of segments in several."""
-    segments = table(spark, sf_dir, "extracted_segments").select("source_path", "segment_id", "text", "likely_language")
-    rows = paragraph_languages(segments)
-    sure = F.when((F.col("confidence") >= SURE) & (F.col("words") >= WORDS), F.col("lang"))
-    # all paragraphs of a segment leave one task together, so this groups without moving text
-    perseg = rows.groupBy("segment_id").agg(
-        F.collect_list(F.struct("para_no", "lang")).alias("paras"),
-        F.count_distinct(sure).alias("n"),
-        *[F.sum(F.col("evidence")[i]).alias(x) for i, x in enumerate(LANGUAGES)],
-    )
-    best = F.greatest(*LANGUAGES)
-    main = F.coalesce(*[F.when((F.col(x) == best) & (best > 0), F.lit(x)) for x in LANGUAGES])
-    labels = segments.groupBy("segment_id").agg(F.min(label(F.col("likely_language"))).alias("l"))
-    joined = perseg.select("segment_id", "paras", (F.col("n") > 1).alias("mixed"), main.alias("main")).join(labels, "segment_id")
-    single = joined.filter(~F.col("mixed") & F.col("main").isNotNull() & ~F.col("main").eqNullSafe(F.col("l"))).select(
-        "segment_id", F.lit(0).alias("para_no"), F.col("main").alias("lang")
-    )
-    several = joined.filter("mixed").select("segment_id", F.inline("paras")).filter("lang is not null")
-    return single.unionByName(several).distinct()
+    rows = segment_languages(_segments(spark, sf_dir))
+    several = F.transform(F.filter("paras", lambda p: p["lang"].isNotNull()), lambda p: F.struct(p["para_no"].alias("para_no"), p["lang"].alias("lang")))
+    wrong = F.col("lang").isNotNull() & ~F.col("lang").eqNullSafe(F.col("named"))
+    one = F.when(wrong, F.array(F.struct(F.lit(0).alias("para_no"), F.col("lang").alias("lang"))))
+    return rows.select("segment_id", F.inline(F.when(F.col("mixed"), several).otherwise(one)))
 
 
 def p3_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A language with its confidence for every source_path."""
-    segments = table(spark, sf_dir, "extracted_segments").select("source_path", "segment_id", "text", "likely_language")
-    return _vote(paragraph_languages(segments), "source_path")
+    lang, confidence = _choice()
+    sums = segment_languages(_segments(spark, sf_dir)).groupBy("source_path").agg(*[F.sum(x).alias(x) for x in LANGUAGES])
+    return sums.select("source_path", lang.alias("lang"), confidence.alias("confidence"))
 
 
 def p3_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A language with its confidence for every segment, and whether it is mixed."""
-    segments = table(spark, sf_dir, "extracted_segments").select("source_path", "segment_id", "text", "likely_language")
-    return segment_languages(paragraph_languages(segments))
+    return segment_languages(_segments(spark, sf_dir)).select("segment_id", "lang", "confidence", "mixed")
 
 
 QUERIES = {"p3_found": p3_found, "p3_documents": p3_documents, "p3_segments": p3_segments}

@@ -190,21 +190,18 @@ def test_languages(spark):
     rows += [("q", "blank", " ", None), ("q", "null", None, "tvl"), ("q", "long", tvl(60000), "mixed"), rows[0]]
     df = spark.createDataFrame(rows, "source_path string, segment_id string, text string, likely_language string")
     filters = language.fit(df)
-    para = language.paragraph_languages(df, filters)
-    got = {(r.segment_id, r.para_no): r.lang for r in para.collect()}
+    segments = {r.segment_id: r for r in language.segment_languages(df, filters).collect()}
+    got = {(k, p.para_no): p.lang for k, r in segments.items() for p in r.paras}
     assert got["mixed", 1] == "tvl" and got["mixed", 2] == "en" and got["mixed", 3] == "tvl" and got["wrong", 1] == "tvl" and got["long", 1] == "tvl"
     assert not any(k[0] in ("numbers", "blank", "null") for k in got)
-    segments = {r.segment_id: (r.lang, r.mixed) for r in language.segment_languages(para).collect()}
-    assert segments["none"] == ("en", False) and segments["mixed"] == ("tvl", True)
-    assert language.paragraph_languages(df.limit(0), language.fit(df.limit(0))).count() == 0
+    assert (segments["none"].lang, segments["none"].mixed) == ("en", False) and (segments["mixed"].lang, segments["mixed"].mixed) == ("tvl", True)
+    assert language.segment_languages(df.limit(0)).count() == 0
 
 
 def test_bloom_filters_hold_all_their_grams():
     h = np.arange(1, 5000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    counts = np.zeros((len(h), 4), np.int64)
-    counts[::2, 0] = 9
-    counts[1::2, 2] = 9
-    f = language.LanguageFilters.fit(h, counts, np.array([10, 10, 10, 10]), language.LANGUAGES)
+    has = np.where(np.arange(len(h)) % 2, 4, 1).astype(np.uint8)
+    f = language.LanguageFilters.fit(h, has, language.LANGUAGES)
     mask = f.masks(h)
     assert (mask[::2] & 1).all() and (mask[1::2] >> 2 & 1).all() and np.mean(mask[::2] == 1) > 0.99
 
