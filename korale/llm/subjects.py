@@ -1,17 +1,19 @@
 """Problem 9: the subjects of each document, and the corpus composition by subject.
 
 Method: class-association rules. Sentences of labelled documents are
-transactions of their words and of their document's subject; parallel FP-growth
-mines the frequent itemsets, those with one subject give rules (one or two
-words -> subject). A rule's confidence is balanced by the subjects' own
+transactions of their words and of their document's subject. Frequent patterns
+grow in parallel, in the tasks that hold the sentences: frequent words first,
+then, in the projection of the sentences on each of them, pairs; a pattern and
+a subject give a rule (one or two words -> subject). The growth stops there, so
+long sentences that repeat cost no more than their pairs. A rule's confidence is balanced by the subjects' own
 frequencies and shrunk by its support, which calibrates its evidence (log
 odds); a rule of two words is pruned unless it is clearly surer than the rules
 of its words. Every sentence of every document sums the evidence of its
 matching rules and goes to its best subject, if that is clear; a document
 treats a subject from SHARE of its sentences on.
 
-The rules are fitted on a documented bounded sample (FIT_DOCS labelled
-documents in one subject), so the broadcast rules are bounded too. Terms of
+The rules are fitted on a documented bounded sample (about FIT_DOCS
+documents labelled with one subject; those with several don't teach), so the broadcast rules are bounded too. Terms of
 subject_terms that no rule covers join as rules of their own.
 
 Defined results: null, blank and wordless texts have no subject; a repeated
@@ -27,12 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from korale.functions.folding import INVISIBLES, fold, unescape
-from korale.session import table
+from korale.session import sample, stored, table
 
 FIT_DOCS = 6000  # bound of the labelled sample
 SUPPORT = 4  # sentences that a rule must hold in
@@ -107,61 +108,116 @@ class Rules:
         return [(s, c / len(parts), len(parts)) for s, c in zip(self.subjects, count, strict=True) if c]
 
 
+def _balanced(counts: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """([row]: best subject, [row]: its share) of counts[row, subject], as if all subjects were equally frequent."""
+    c = counts * scale
+    p = (c + 0.15) / (c.sum(axis=1, keepdims=True) + 0.15 * counts.shape[1])
+    return p.argmax(axis=1), p.max(axis=1)
+
+
+def _per_subject(rows: DataFrame, key: str, subjects: list[str]) -> DataFrame:
+    """key, counts (array with the sum of n for each subject)."""
+    sums = [F.sum(F.when(F.col("subject") == s, F.col("n")).otherwise(0)) for s in subjects]
+    return rows.groupBy(key).agg(F.array(*sums).alias("counts"))
+
+
+def _grown(baskets: DataFrame, items: dict[str, int], subjects: list[str]) -> DataFrame:
+    """pair (a * items + b), subject, n: how often items a < b stand together in sentences of a subject.
+
+    The growth of the patterns of one item: each basket is projected on each of
+    its items, and the items behind it in the common order are counted there.
+    Rules have two words at most, so patterns grow no further.
+    """
+    packed, width = pickle.dumps((items, subjects)), len(items)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, subjects = pickle.loads(packed)
+        place = {s: i for i, s in enumerate(subjects)}
+
+        def counted(keys: list[np.ndarray], weights: list[np.ndarray]) -> pd.DataFrame:
+            key, at = np.unique(np.concatenate(keys), return_inverse=True)
+            n = np.bincount(at, np.concatenate(weights), len(key)).astype(np.int64)
+            return pd.DataFrame({"pair": key // len(subjects), "subject": [subjects[i] for i in key % len(subjects)], "n": n})
+
+        for b in batches:
+            keys, weights, held = [], [], 0
+            for s, words, n in zip(b.subject, b.words, b.n, strict=True):
+                ids = np.array(sorted(known[w] for w in words if w in known), np.int64)
+                for i in range(len(ids) - 1):  # the projection on item i
+                    keys.append((ids[i] * width + ids[i + 1 :]) * len(subjects) + place[s])
+                    weights.append(np.full(len(ids) - 1 - i, n, float))
+                    held += len(ids) - 1 - i
+                    if held > 1_000_000:
+                        yield counted(keys, weights)
+                        keys, weights, held = [], [], 0
+            if keys:
+                yield counted(keys, weights)
+
+    return baskets.mapInPandas(run, "pair bigint, subject string, n bigint").groupBy("pair", "subject").agg(F.sum("n").alias("n"))
+
+
 def mine(documents: DataFrame, labels: DataFrame, terms: DataFrame) -> Rules:
-    """Rules from the labelled sample and the listed terms."""
-    spark = documents.sparkSession
+    """Rules from the labelled sample and the listed terms. Sentences stay in the tasks; the driver gets items and kept rules."""
     listed = [(r.subject, fold(r.term)) for r in terms.select("subject", "term").distinct().collect() if r.subject and r.term]
-    one = labels.filter("subject is not null").groupBy("doc_id").agg(F.min("subject").alias("subject"), F.count_distinct("subject").alias("n")).filter("n = 1")
-    sample = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_DOCS).select("doc_id", "subject")
+    one = labels.filter("subject is not null and doc_id is not null").groupBy("doc_id").agg(F.min("subject").alias("subject"), F.count_distinct("subject").alias("n")).filter("n = 1")
+    chosen = sample(one, FIT_DOCS, "doc_id").select("doc_id", "subject")
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = [(s, sorted({fold(w) for w in words if not w[0].isdigit()})) for s, t in zip(b.subject, b.text, strict=True) for words in sentence_words(t)]
             yield pd.DataFrame(rows, columns=["subject", "words"])
 
-    # the sample has at most FIT_DOCS rows, so its side may be broadcast
-    joined = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("subject", "text")
-    got = joined.mapInPandas(split, "subject string, words array<string>").toPandas()
-    subjects = sorted(set(got.subject) | {s for s, _ in listed})
+    # the sample has about FIT_DOCS rows, so its side may be broadcast
+    joined = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("subject", "text")
+    baskets = joined.mapInPandas(split, "subject string, words array<string>").groupBy("subject", "words").agg(F.count("*").alias("n"))
+    baskets = stored(baskets, "baskets")  # equal sentences once
+    of = {r.subject: r.n for r in baskets.groupBy("subject").agg(F.sum("n").alias("n")).collect()}
+    subjects = sorted(set(of) | {s for s, _ in listed})
     place = {s: i for i, s in enumerate(subjects)}
-    base = np.zeros(len(subjects))
-    seen: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(subjects)))
-    for s, words in zip(got.subject, got.words, strict=True):
-        base[place[s]] += 1
-        for w in words:
-            seen[w][place[s]] += 1
+    base = np.array([of.get(s, 0) for s in subjects], float)
     scale = base.mean() / np.maximum(base, 1) if len(subjects) else base
-
-    def balanced(counts: np.ndarray) -> tuple[int, float]:
-        c = counts * scale
-        p = (c + 0.15) / (c.sum() + 0.15 * len(subjects))
-        return int(p.argmax()), float(p.max())
-
-    items = {w for w, c in seen.items() if c.sum() >= SUPPORT and balanced(c)[1] >= LEAN}
-    itemsets: dict[tuple[str, ...], np.ndarray] = defaultdict(lambda: np.zeros(len(subjects)))
-    baskets = [[f"={s}", *(w for w in words if w in items)] for s, words in zip(got.subject, got.words, strict=True)]
-    if baskets := [b for b in baskets if len(b) > 1]:
-        frame = spark.createDataFrame(pd.DataFrame({"items": baskets}), "items array<string>")
-        model = FPGrowth(itemsCol="items", minSupport=(SUPPORT - 0.5) / len(baskets), minConfidence=1.0).fit(frame)
-        sets = model.freqItemsets.filter(F.size("items") <= 3).filter(F.size(F.filter("items", lambda x: x.startswith("="))) == 1)
-        for items_, n in sets.collect():
-            words = tuple(sorted(x for x in items_ if x[0] != "="))
-            if words:
-                itemsets[words][place[next(x for x in items_ if x[0] == "=")[1:]]] += n
+    single: dict[str, tuple[int, float]] = {}
+    double: dict[tuple[str, str], tuple[int, float]] = {}
+    common: set[str] = set()
     odds = lambda p: float(np.log(p / (1 - p) * (len(subjects) - 1) / 2))
-    best = {words: balanced(c) for words, c in itemsets.items()}
-    single = {words[0]: (k, odds(p)) for words, (k, p) in best.items() if len(words) == 1 and p >= CONFIDENCE}
-    double = {
-        words: (k, odds(p))
-        for words, (k, p) in best.items()
-        if len(words) == 2 and p >= CONFIDENCE and p >= GAIN + max(best.get((w,), (k, 0.0))[1] if best.get((w,), (k, 0.0))[0] == k else 0.0 for w in words)
-    }
+    if of:
+        c = [F.col("counts")[i] for i in range(len(subjects))]
+        most = F.greatest(*[x * float(k) for x, k in zip(c, scale, strict=True)]) if len(c) > 1 else c[0]
+        lean = (most + 0.15) / (sum(x * float(k) for x, k in zip(c, scale, strict=True)) + 0.15 * len(subjects))
+        words = _per_subject(baskets.select("subject", "n", F.explode("words").alias("word")), "word", subjects)
+        terms_ = {t for _, t in listed}
+        wanted = (sum(c) >= SUPPORT) & ((lean >= LEAN) | F.col("word").isin(*terms_))
+        got = words.filter(wanted).sort("word").toPandas()
+        counts = np.array(got.counts.tolist(), float).reshape(len(got), len(subjects))
+        common = {w for w, n in zip(got.word, counts.sum(axis=1), strict=True) if n >= 3 * SUPPORT}
+        leaning = _balanced(counts, scale)[1] >= LEAN
+        names, counts = got.word[leaning].tolist(), counts[leaning]
+        best, sure = _balanced(np.where(counts >= SUPPORT, counts, 0), scale)
+        held = (counts >= SUPPORT).any(axis=1)
+        sure = np.where(held, sure, 0.0)
+        single = {w: (int(k), odds(p)) for w, k, p in zip(names, best, sure, strict=True) if p >= CONFIDENCE}
+        pairs = _per_subject(_grown(baskets, {w: i for i, w in enumerate(names)}, subjects).filter(F.col("n") >= SUPPORT), "pair", subjects)
+        rules = pickle.dumps((best, sure, scale))
+
+        def prune(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            best, sure, scale = pickle.loads(rules)
+            for b in batches:
+                if b.empty:
+                    continue
+                k, p = _balanced(np.array(b.counts.tolist(), float), scale)
+                one, two = np.divmod(b.pair.to_numpy(np.int64), len(best))
+                alone = np.maximum(np.where(best[one] == k, sure[one], 0.0), np.where(best[two] == k, sure[two], 0.0))
+                kept = (p >= CONFIDENCE) & (p >= GAIN + alone)
+                yield pd.DataFrame({"one": one[kept], "two": two[kept], "k": k[kept], "p": p[kept]})
+
+        for r in pairs.mapInPandas(prune, "one bigint, two bigint, k int, p double").toPandas().itertuples():
+            double[names[r.one], names[r.two]] = (int(r.k), odds(r.p))
     owners: dict[str, set[str]] = defaultdict(set)
     for s, t in listed:
         owners[t].add(s)
-    for t, of in owners.items():
-        if len(of) == 1 and t not in single and seen.get(t, np.zeros(1)).sum() < 3 * SUPPORT:
-            single[t] = (place[next(iter(of))], odds(TERM))
+    for t, who in owners.items():
+        if len(who) == 1 and t not in single and t not in common:
+            single[t] = (place[next(iter(who))], odds(TERM))
     return Rules(subjects, single, double)
 
 
