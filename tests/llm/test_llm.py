@@ -381,10 +381,21 @@ def test_token_sizes(spark):
 
 
 def test_split_blocks_uses_every_block_once():
-    rng = np.random.default_rng(3)
     blocks = np.array([100, 7, 0, 33])
-    dealt = mixing.split_blocks(blocks, 9, rng)
-    assert (dealt.sum(axis=0) == blocks).all() and dealt.sum(axis=1).max() - dealt.sum(axis=1).min() <= 2
+    for whole in (1, 3, 9):  # whatever is split beforehand
+        nodes = mixing.nodes(blocks, 9, [3], whole)
+        dealt = [leaf for node in nodes for leaf in mixing.leaves(*node, [3])]
+        got = np.array([n for _, n, _ in dealt])
+        assert [s for s, _, _ in dealt] == list(range(9)) and (got.sum(axis=0) == blocks).all() and got.sum(axis=1).max() - got.sum(axis=1).min() <= 2
+        assert all((first == got[:s].sum(axis=0)).all() for s, _, first in dealt)  # runs of blocks follow each other
+
+
+def test_splitting_of_many_blocks():
+    blocks = np.array([3_000_000_000, 1_000_000_007, 5])
+    (_, a, _), (_, b, _) = mixing.leaves(0, 2, blocks, blocks * 0, [1])
+    assert (a + b == blocks).all() and abs(int(a.sum()) - int(b.sum())) < 1e6 and abs(a[0] / blocks[0] - 0.5) < 0.01
+    got = mixing.nodes(np.array([61_000_000, 1000]), 500_000, [1], 500_000 // 4096)
+    assert len(got) <= 2 * 4096 * 2 and min(n.sum() / k for _, k, n, _ in got) > 100  # no node without blocks
 
 
 def test_mixture(spark):
@@ -435,6 +446,17 @@ def test_subjects(spark):
     assert right > 570 and got.get(902, set()) == truth[0] and 900 not in got and 901 not in got
     assert subjects.document_subjects(d.limit(0), lab.limit(0), terms.limit(0)).count() == 0
     assert subjects.document_subjects(d, lab.limit(0), terms.limit(0)).count() == 0
+    assert subjects.document_subjects(d, lab, terms.limit(0)).count() > 0
+
+
+def test_long_repeated_sentences_are_mined_at_the_cost_of_their_pairs(spark):
+    words = " ".join(f"rare{a}{b}" for a in WORDS[:8] for b in WORDS[:5])  # 40 words
+    docs = [(i, f"{words}. " if i % 2 else f"plain {WORDS[i % 40]} text.") for i in range(200)]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    lab = spark.createDataFrame([(i, "law" if i % 2 else "art") for i in range(200)], "doc_id bigint, subject string")
+    terms = spark.createDataFrame([], "subject string, term string")
+    rules = subjects.mine(d, lab, terms)
+    assert len([w for w in rules.single if w.startswith("rare")]) == 40
 
 
 # --- all queries
