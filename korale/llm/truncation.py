@@ -10,22 +10,24 @@ baseline: where texts of a source usually end without one, or usually end with
 a closing tag, that is expected or demanded. Whether a text without terminator
 nevertheless ends a sentence is told by end statistics, counted over all
 rows: how often a word, and the skeleton of the last words (frequent words
-kept, others by kind), ends a sentence.
+kept, others by kind), ends a sentence. The counts stay distributed: a text
+whose end must be looked up is joined with them by the keys of its end.
 
 Defined results: null and blank texts are never cut; repeated rows count once;
-other columns are ignored.
+a row without source is judged as one of a source that ends its texts with
+terminators and without tags; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import math
-import pickle
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -107,19 +109,25 @@ def sentences(text: str) -> list[str]:
     return [s for s in _END.split(text) if s and not s.isspace()]
 
 
-class EndStatistics:
-    """How often words and skeletons end a sentence. A skeleton is coded in bits, BITS for each word, the last one lowest."""
+def _key(kind: str, what: str) -> int:
+    """The key under which a word (w), a formula (f) or a skeleton (s) is counted."""
+    return xxhash.xxh3_64_intdigest(kind + what) - (1 << 63)
 
-    def __init__(self, frequent: Iterable[str]):
-        self.frequent = set(frequent)
-        self.number = {w: i for i, w in enumerate(["^", "#", "C", "x", *sorted(self.frequent)], 1)}
-        self.codes, self.inside, self.ends = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.words: dict[str, tuple[int, int]] = {}  # occurrences, and those that end a sentence
-        self.formulas: set[str] = set()
-        self.rate = 0.0
 
-    def skeletons(self, found: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(codes, how often they occur, how often at an end) of the skeletons of ORDERS words in the sentences."""
+def _skeleton_keys(skeleton: list[str]) -> list[int | None]:
+    """The keys of the ends of a skeleton, one per length of ORDERS; null where it is shorter."""
+    return [_key("s", " ".join(skeleton[-k:])) if k <= len(skeleton) else None for k in ORDERS]
+
+
+class Skeletons:
+    """Counts skeletons of sentences. A skeleton is coded in bits, BITS for each word, the last one lowest."""
+
+    def __init__(self, frequent: set[str]):
+        self.names = ["", "^", "#", "C", "x", *sorted(frequent)]
+        self.number = {w: i for i, w in enumerate(self.names)}
+
+    def count(self, found: list[list[str]]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """(keys, how often they occur, how often at an end) of the skeletons of ORDERS words in the sentences."""
         flat = np.array([self.number[w] for s in found for w in s], np.int64)
         size = np.array([len(s) for s in found], np.int64)
         place = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
@@ -130,39 +138,14 @@ class EndStatistics:
             codes.append(sum(flat[at - t] << (BITS * t) for t in range(k)))
             ends.append(last[at])
         got, where, n = np.unique(np.concatenate(codes), return_inverse=True, return_counts=True)
-        return got, n, np.bincount(where, np.concatenate(ends), len(got)).astype(np.int64)
-
-    def known(self, skeleton: list[str]) -> tuple[int, int]:
-        """How often a skeleton occurs, and how often at an end; (0, 0) for rare ones."""
-        code = 0
-        for w in skeleton:
-            code = code << BITS | self.number[w]
-        at = int(np.searchsorted(self.codes, code))
-        return (int(self.inside[at]), int(self.ends[at])) if at < len(self.codes) and self.codes[at] == code else (0, 0)
-
-    def log_odds(self, text: str) -> float:
-        """Log odds that text, which has no terminator, stops at a sentence's end."""
-        parts = sentences(text)
-        if not parts:
-            return 0.0
-        low, skeleton = _sentence(parts[-1], self.frequent, text.upper() == text)
-        if not low:
-            return 0.0
-        if " ".join(low) in self.formulas:
-            return 9.0
-        odds = -6.0
-        for k in ORDERS:
-            if k <= len(skeleton) and (of := self.known(skeleton[-k:]))[0]:
-                p = (of[1] + 0.01) / (of[0] + 1)
-                odds = math.log(p / (1 - p))
-                break
-        word = low[-1]
-        if word[0].isdigit():
-            return odds
-        if word not in self.words:
-            return min(odds, 0.0) - 6.0
-        n, last = self.words[word]
-        return odds + min(1.0, max(-3.0, math.log((last + 0.3) / (n * self.rate + 0.3))))
+        return [self._named(c) for c in got.tolist()], n, np.bincount(where, np.concatenate(ends), len(got)).astype(np.int64)
+
+    def _named(self, code: int) -> int:
+        words = []
+        while code:
+            words.append(self.names[code & ((1 << BITS) - 1)])
+            code >>= BITS
+        return _key("s", " ".join(reversed(words)))
 
 
 def _closed(text: str, frequent: set[str]) -> Iterator[tuple[list[str], list[str]]]:
@@ -177,9 +160,8 @@ def _closed(text: str, frequent: set[str]) -> Iterator[tuple[list[str], list[str
             yield low, skeleton
 
 
-def end_statistics(rows: DataFrame, text: str) -> EndStatistics:
-    """The end statistics of all texts; only what reaches its least count comes to the driver."""
-    texts = rows.select(F.col(text).alias("t")).filter("t is not null and trim(t) != ''")
+def frequent_words(texts: DataFrame) -> set[str]:
+    """The FREQUENT most frequent words of texts (t)."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter[str] = Counter()
@@ -192,8 +174,13 @@ def end_statistics(rows: DataFrame, text: str) -> EndStatistics:
         yield pd.DataFrame(seen.items(), columns=["w", "n"])
 
     seen = texts.mapInPandas(count, "w string, n bigint").groupBy("w").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "w").limit(FREQUENT)
-    model = EndStatistics(r.w for r in seen.collect() if not r.w[0].isdigit())
-    columns = ["kind", "code", "w", "n", "ends"]
+    return {r.w for r in seen.collect() if not r.w[0].isdigit()}
+
+
+def end_counts(texts: DataFrame, frequent: set[str]) -> DataFrame:
+    """key, kind, n, ends: how often words (w), skeletons (s) and short sentences (f) of texts (t) occur, and how often at a sentence's end; those of their least count."""
+    columns = ["key", "kind", "n", "ends"]
+    skeletons = Skeletons(frequent)
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -202,27 +189,20 @@ def end_statistics(rows: DataFrame, text: str) -> EndStatistics:
             formulas: Counter[str] = Counter()
             found = []
             for t in b.t:
-                for low, skeleton in _closed(unescape(t), model.frequent):
+                for low, skeleton in _closed(unescape(t), frequent):
                     words.update(low)
                     last[low[-1]] += 1
                     if len(low) <= 6:
                         formulas[" ".join(low)] += 1
                     found.append(skeleton)
-            yield pd.DataFrame([("w", 0, w, n, last[w]) for w, n in words.items()] + [("f", 0, w, n, 0) for w, n in formulas.items()], columns=columns)
+            yield pd.DataFrame([(_key("w", w), "w", n, last[w]) for w, n in words.items()] + [(_key("f", w), "f", n, 0) for w, n in formulas.items()], columns=columns)
             if found:
-                codes, n, ends = model.skeletons(found)
-                yield pd.DataFrame({"kind": "s", "code": codes, "w": "", "n": n, "ends": ends}, columns=columns)
+                keys, n, ends = skeletons.count(found)
+                yield pd.DataFrame({"key": keys, "kind": "s", "n": n, "ends": ends}, columns=columns)
 
-    counted = texts.mapInPandas(measure, "kind string, code bigint, w string, n bigint, ends bigint").groupBy("kind", "code", "w").agg(F.sum("n").alias("n"), F.sum("ends").alias("ends"))
-    counted = stored(counted.filter((F.col("kind") == "w") | (F.col("n") >= F.when(F.col("kind") == "s", LEAST).otherwise(FORMULA))), "ends")
-    ends = counted.filter("kind = 'w'").agg(F.sum("ends")).first()[0] or 0
-    got = counted.filter(F.col("n") >= SEEN).toPandas()
-    words, skeletons = got[got.kind == "w"], got[got.kind == "s"].sort_values("code")
-    model.words = {w: (int(n), int(e)) for w, n, e in zip(words.w, words.n, words.ends, strict=True)}
-    model.codes, model.inside, model.ends = (skeletons[c].to_numpy(np.int64) for c in ("code", "n", "ends"))
-    model.formulas = set(got.w[got.kind == "f"])
-    model.rate = ends / max(1, int(words.n.sum()))
-    return model
+    counted = texts.mapInPandas(measure, "key bigint, kind string, n bigint, ends bigint").groupBy("key", "kind").agg(F.sum("n").alias("n"), F.sum("ends").alias("ends"))
+    least = F.when(F.col("kind") == "w", 1).when(F.col("kind") == "s", LEAST).otherwise(FORMULA)
+    return stored(counted.filter(F.col("n") >= least), "ends")
 
 
 def parts(text: str) -> tuple[str, bool, bool, list[str]]:
@@ -251,28 +231,57 @@ def ends_whole(stem: str) -> bool:
     return False
 
 
-def judge(text: str | None, ends: EndStatistics, terminated: float, tag: float) -> bool:
-    """True where text was cut; terminated, tag: the shares of its source's texts that end with a terminator, with a tag."""
+class Judgement(NamedTuple):
+    """What a text tells by itself: cut or not (null where its end must be looked up), cut if its source's texts end with tags; and what to look up."""
+
+    cut: bool | None
+    untagged: bool = False
+    keys: list[int | None] | None = None  # formula, word (null for a number), skeletons
+    shift: float = 0.0
+
+
+def judge(text: str | None, frequent: set[str]) -> Judgement:
+    """The automaton's verdict on text, and the keys of its end where there is neither a terminator nor an open mark that decides."""
     if text is None or not text.strip():
-        return False
+        return Judgement(False)
     text = unescape(text) if "&" in text else text
     stem, appended, tagged, still = parts(text)
     if "�" in still:
-        return True
-    if tag >= TAGGED and not tagged and any(m[0] == "<" for m in still):
-        return True
+        return Judgement(True)
+    untagged = not tagged and any(m[0] == "<" for m in still)
     if ends_whole(stem):
-        return bool(still and _APPENDED.search(text) and still[-1] in _OPEN and text.rstrip().endswith(still[-1]))
+        return Judgement(bool(still and _APPENDED.search(text) and still[-1] in _OPEN and text.rstrip().endswith(still[-1])), untagged)
     if text.rstrip()[-1:] in _OPEN:
-        return True
+        return Judgement(True)
     if not stem:
-        return False
-    odds = ends.log_odds(_ASIDE.sub("", stem) or stem)
-    if terminated < 1 - USUAL:  # this source does without terminators
-        odds += 2.0
-    if any(m in _OPEN for m in still):
-        odds -= 1.0
-    return odds < WHOLE
+        return Judgement(False, untagged)
+    stem = _ASIDE.sub("", stem) or stem
+    found = sentences(stem)
+    low, skeleton = _sentence(found[-1], frequent, stem.upper() == stem) if found else ([], [])
+    if not low:
+        return Judgement(False, untagged)
+    word = None if low[-1][0].isdigit() else _key("w", low[-1])
+    return Judgement(None, untagged, [_key("f", " ".join(low)), word, *_skeleton_keys(skeleton)], -1.0 if any(m in _OPEN for m in still) else 0.0)
+
+
+def log_odds(probes: DataFrame, counts: DataFrame) -> DataFrame:
+    """probe, odds: the log odds that a text with the keys of probes (probe, keys) stops at a sentence's end."""
+    totals = counts.filter("kind = 'w'").agg(F.sum("ends").alias("ends"), F.sum(F.when(F.col("n") >= SEEN, F.col("n"))).alias("n")).first()
+    rate = (totals.ends or 0) / max(1, totals.n or 0)
+    looked = probes.select("probe", F.posexplode("keys").alias("slot", "key")).filter("key is not null")
+    hit = looked.join(counts.filter(F.col("n") >= SEEN).select("key", "n", "ends"), "key", "left")
+    found = F.when((F.col("slot") >= 2) & F.col("n").isNotNull(), F.col("slot"))
+    each = hit.groupBy("probe").agg(
+        F.max(F.when(F.col("slot") == 0, F.col("n"))).alias("formula"),
+        F.max(F.when(F.col("slot") == 1, 1)).alias("worded"),
+        F.max(F.when(F.col("slot") == 1, F.struct("n", "ends"))).alias("word"),
+        F.min_by(F.struct("n", "ends"), found).alias("skeleton"),
+    )
+    p = (F.col("skeleton.ends") + 0.01) / (F.col("skeleton.n") + 1)
+    base = F.coalesce(F.log(p / (1 - p)), F.lit(-6.0))
+    last = F.log((F.col("word.ends") + 0.3) / (F.col("word.n") * rate + 0.3))
+    worded = F.when(F.col("word.n").isNull(), F.least(base, F.lit(0.0)) - 6.0).otherwise(base + F.least(F.lit(1.0), F.greatest(F.lit(-3.0), last)))
+    return each.select("probe", F.when(F.col("formula").isNotNull(), 9.0).when(F.col("worded").isNull(), base).otherwise(worded).alias("odds"))
 
 
 def baselines(rows: DataFrame, source: str, text: str) -> DataFrame:
@@ -292,35 +301,36 @@ def baselines(rows: DataFrame, source: str, text: str) -> DataFrame:
 def truncated(rows: DataFrame, key: str, text: str, source: str, kinds: str | None = None) -> DataFrame:
     """One row per row of rows: key, source, cut (boolean).
 
-    kinds names a column by whose value the statistics are not split but texts
-    without any sentence (single words, expressions) are left out: rows where
-    it is `word` or `expression` are never cut unless a mark is broken.
+    kinds names a column by whose value texts without any sentence are left out
+    of the statistics: rows where it is `word` or `expression` are cut only
+    where they end in a broken character.
+
+    Texts are judged where they are read; what has to be looked up is joined by
+    keys, and so are the baselines of the sources, whatever their number.
     """
-    shares = {r.source: (r.terminated, r.tagged) for r in baselines(rows, source, text).orderBy(F.desc("texts"), "source").limit(MOST_SOURCES).collect()}
     short = F.coalesce(F.col(kinds).isin("word", "expression"), F.lit(False)) if kinds else F.lit(False)
-    model = pickle.dumps((end_statistics(rows.filter(~short), text), shares))
+    whole = rows.filter(~short).select(F.col(text).alias("t")).filter("t is not null and trim(t) != ''")
+    frequent = frequent_words(whole)
+    counts = end_counts(whole, frequent)
     kind = rows.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ends, base = pickle.loads(model)
         for b in batches:
-            cut = []
-            for t, s, short in zip(b.t, b.s, b.short, strict=True):
-                if t is None:
-                    cut.append(False)
-                elif short:
-                    cut.append(bool(t) and t.rstrip()[-1:] == "�")
-                else:
-                    cut.append(judge(t, ends, *base.get(s, (1.0, 0.0))))
-            yield pd.DataFrame({key: b.k, "source": b.s, "cut": cut})
+            got = [judge(t, frequent) if not short else Judgement(bool(t) and t.rstrip()[-1:] == "�") for t, short in zip(b.t, b.short, strict=True)]
+            yield pd.DataFrame(
+                {key: b.k, "source": b.s, "known": [g.cut for g in got], "untagged": [g.untagged for g in got], "keys": [g.keys for g in got], "shift": [g.shift for g in got]}
+            )
 
     plain = F.col(text).rlike(r"[^.][.!?]$") & ~F.col(text).rlike(MARKED)  # these are whole: a terminator and nothing to be left open
-    return rows.select(F.col(key).alias("k"), F.when(~plain, F.col(text)).alias("t"), F.col(source).alias("s"), short.alias("short")).mapInPandas(
-        run, f"`{key}` {kind}, source string, cut boolean"
-    )
-
-
-MOST_SOURCES = 10000  # sources whose own baseline is used, the largest first; beyond them texts are expected to be terminated
+    asked = rows.select(F.col(key).alias("k"), F.when(~plain, F.col(text)).alias("t"), F.col(source).alias("s"), short.alias("short"))
+    judged = asked.mapInPandas(run, f"`{key}` {kind}, source string, known boolean, untagged boolean, keys array<bigint>, shift double")
+    judged = stored(judged.withColumn("probe", F.when(F.col("keys").isNotNull(), F.xxhash64("keys"))), "judged")
+    odds = log_odds(judged.filter("probe is not null").select("probe", "keys").dropDuplicates(["probe"]), counts)
+    base = baselines(rows, source, text).select("source", (F.col("tagged") >= TAGGED).alias("tags"), (F.col("terminated") < 1 - USUAL).alias("bare"))
+    joined = judged.select(key, "source", "known", "untagged", "probe", "shift").join(base.filter("source is not null"), "source", "left").join(odds, "probe", "left")
+    below = F.col("odds") + F.col("shift") + F.when(F.col("bare"), 2.0).otherwise(0.0) < WHOLE  # a source that does without terminators
+    cut = (F.col("untagged") & F.coalesce("tags", F.lit(False))) | F.coalesce("known", below, F.lit(False))
+    return joined.select(key, "source", cut.alias("cut"))
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
