@@ -31,6 +31,7 @@ import re
 import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -43,7 +44,8 @@ from korale.llm import gbt
 from korale.session import keyed, stored, table
 
 SCANNED = ("tesseract_image_ocr", "existing_ocr_jsonl")
-FIT_LINES = 20_000  # bound of the lines for the furniture classifier
+FIT_PAGES = 3_500  # about so many pages teach the furniture classifier,
+FIT_LINES = 40_000  # with so many of their lines at most
 FIT_WORDS = 8_000  # bound of the lexicon words for the join classifier and the ranking
 LEXICON = 2  # occurrences from which a word of clean pages is in the lexicon
 LEXICON_SCANNED = 6, 2e-5  # the same for words of scanned pages only: at least so many, and so large a share of their words; a misread form stays below it
@@ -52,6 +54,7 @@ JOIN = 0.5
 REPLACE = 0.5
 MISREAD_RATE = 0.0006  # share of a word's occurrences that are misread in one certain way, for the examples to learn from
 COMMON_GRAMS = 0.4  # share of a form's q-grams that a candidate must have
+FREQUENT = 1e-5  # share of all words from which a clean page's word is known to every task; there are at most as many as its inverse
 
 _HYPHENS = "-\u2010\u00ac\u00ad\u2011"
 _HYPHEN = "\\-\u2010\u00ac\u00ad\u2011"  # the same inside a character class
@@ -72,6 +75,7 @@ _STRAY = re.compile(r"[~^•¦]")
 # --- words
 
 
+@lru_cache(200_000)
 def form(token: str) -> str:
     """A token in lower case, composed, with one glottal mark, without outer punctuation."""
     t = _HIDDEN.sub("", token.strip(_OUTER))
@@ -99,14 +103,15 @@ def skeletons(word: str) -> set[str]:
     return out
 
 
-def grams(word: str) -> set[str]:
+@lru_cache(100_000)
+def grams(word: str) -> frozenset[str]:
     """The q-grams of the skeletons: pairs for short words, triples for longer ones."""
     out = set()
     for s in skeletons(word):
         for q in (2, 3) if len(s) == 6 else (2,) if len(s) < 6 else (3,):
             x = f"^{s}$"
             out |= {f"{q}{x[i : i + q]}" for i in range(len(x) - q + 1)}
-    return out
+    return frozenset(out)
 
 
 def difference(word: str, candidate: str) -> tuple[str, str]:
@@ -124,6 +129,12 @@ def is_number(word: str) -> bool:
     return bool(_NUMBER.fullmatch(word))
 
 
+@lru_cache(200_000)
+def is_word(f: str) -> bool:
+    """Whether a form may be a misread word."""
+    return not is_number(f) and any(c.isalpha() for c in f) and f[-1] not in _HYPHENS
+
+
 # --- pages
 
 
@@ -222,12 +233,12 @@ def _line_keys(line: str) -> list[str]:
 
 
 def edge_lines(page: DataFrame) -> DataFrame:
-    """segment_id, line_no, inner, x: the features of the two first and two last lines of each scanned page, and of some inner lines."""
+    """segment_id, line_no, inner, taught, x: the features of the two first and two last lines of each scanned page, and of some inner lines of the pages to learn from."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in (part for whole in batches for part in in_parts(whole)):
             rows = []
-            for seg, path, no, text in zip(b.segment_id, b.source_path, b.page, b.text, strict=True):
+            for seg, path, no, text, taught in zip(b.segment_id, b.source_path, b.page, b.text, b.taught, strict=True):
                 lines = text.split("\n")
                 at = [i for i, s in enumerate(lines) if s.strip()]
                 if not at:
@@ -236,23 +247,25 @@ def edge_lines(page: DataFrame) -> DataFrame:
                 for top in (True, False):
                     for depth in range(min(2, len(at))):
                         k = depth if top else len(at) - 1 - depth
-                        rows.append((seg, path, at[k] + 1, top, depth, False, _line_keys(lines[at[k]]), _features(lines, at, k, top, depth, no, width)))
-                for k in range(3, len(at) - 3):
+                        rows.append((seg, path, at[k] + 1, top, depth, False, taught, _line_keys(lines[at[k]]), _features(lines, at, k, top, depth, no, width)))
+                for k in range(3, len(at) - 3) if taught else ():
                     short = len(lines[at[k]].strip()) < 0.5 * width
                     if short or k % 9 == 0:
-                        rows.append((seg, path, at[k] + 1, k % 2 == 0, k % 3 // 2, True, ["!"], _features(lines, at, k, k % 2 == 0, k % 3 // 2, no, width)))
-            yield pd.DataFrame(rows, columns=["segment_id", "source_path", "line_no", "top", "depth", "inner", "keys", "x"])
-
-    schema = "segment_id string, source_path string, line_no int, top boolean, depth int, inner boolean, keys array<string>, x array<double>"
-    rows = page.filter("scanned").select("segment_id", "source_path", "page", "text").mapInPandas(run, schema)
-    total = page.filter("scanned").groupBy("source_path").agg(F.count("*").cast("double").alias("pages"))
+                        rows.append((seg, path, at[k] + 1, k % 2 == 0, k % 3 // 2, True, True, ["!"], _features(lines, at, k, k % 2 == 0, k % 3 // 2, no, width)))
+            yield pd.DataFrame(rows, columns=["segment_id", "source_path", "line_no", "top", "depth", "inner", "taught", "keys", "x"])
+
+    schema = "segment_id string, source_path string, line_no int, top boolean, depth int, inner boolean, taught boolean, keys array<string>, x array<double>"
+    scanned = page.filter("scanned")
+    chosen = F.pmod(F.xxhash64("segment_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, FIT_PAGES / max(1, scanned.count())))
+    rows = scanned.select("segment_id", "source_path", "page", "text", chosen.alias("taught")).mapInPandas(run, schema)
+    total = scanned.groupBy("source_path").agg(F.count("*").cast("double").alias("pages"))
     edges = rows.filter("not inner")
     keyed = edges.select("segment_id", "source_path", "line_no", "top", "depth", F.explode("keys").alias("key")).filter("key != '#'")
     # a document has a bounded number of pages, so this window is small
     w = Window.partitionBy("source_path", "top", "key")
     same = keyed.withColumn("n", F.size(F.collect_set("segment_id").over(w))).groupBy("segment_id", "line_no", "top", "depth").agg(F.max("n").cast("double").alias("same"))
     return rows.join(same, ["segment_id", "line_no", "top", "depth"], "left").join(total, "source_path", "left").select(
-        "segment_id", "line_no", "top", "depth", "inner", "x", F.coalesce("same", F.lit(1.0)).alias("same"), "pages"
+        "segment_id", "line_no", "top", "depth", "inner", "taught", "x", F.coalesce("same", F.lit(1.0)).alias("same"), "pages"
     )
 
 
@@ -264,9 +277,10 @@ def _edge_matrix(b: pd.DataFrame) -> np.ndarray:
 
 def fit_furniture(edges: DataFrame) -> gbt.Forest | None:
     """Trees for furniture, from lines whose case is clear."""
-    got = edges.orderBy(F.xxhash64("segment_id", "line_no"), "segment_id", "line_no", "top").limit(FIT_LINES).toPandas()
+    got = edges.filter("taught").select("segment_id", "line_no", "top", "inner", "same", "pages", "x").limit(FIT_LINES).toPandas()
     if got.empty:
         return None
+    got = got.sort_values(["segment_id", "line_no", "top"], ignore_index=True)
     x = _edge_matrix(got)
     name = {n: i for i, n in enumerate(EDGE_FEATURES)}
     col = lambda n: x[:, name[n]]
@@ -315,22 +329,28 @@ def furniture(page: DataFrame) -> DataFrame:
 # --- tokens of the text lines
 
 
-def tokens(page: DataFrame, removed: DataFrame) -> DataFrame:
-    """segment_id, line_no, kind, form, left, right: the forms of the text lines (w), line ends that may break a word (h), hyphens inside lines (n)."""
+def tokens(page: DataFrame, removed: DataFrame, frequent: set[str]) -> DataFrame:
+    """segment_id, line_no, kind, form, left, right: the forms of the text lines (w), line ends that may break a word (h), hyphens inside lines (n).
+
+    Forms in frequent are those of clean words, which need no correction; they are left out.
+    """
     gone = removed.groupBy("segment_id").agg(F.collect_list("line_no").alias("gone"))
     rows = page.filter("scanned").select("segment_id", "text").join(gone, "segment_id", "left")
 
+    packed = pickle.dumps(frequent)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = pickle.loads(packed)
         for b in (part for whole in batches for part in in_parts(whole)):
             out = []
             for seg, text, gone in zip(b.segment_id, b.text, b.gone, strict=True):
-                out += [(seg, *t) for t in page_tokens(text, set() if gone is None else set(gone))]
+                out += [(seg, *t) for t in page_tokens(text, set() if gone is None else set(gone), known)]
             yield pd.DataFrame(out, columns=["segment_id", "line_no", "kind", "form", "left", "right"])
 
     return rows.mapInPandas(run, "segment_id string, line_no int, kind string, form string, left string, right string")
 
 
-def page_tokens(text: str, gone: set[int]) -> list[tuple[int, str, str, str | None, str | None]]:
+def page_tokens(text: str, gone: set[int], known: set[str] | frozenset[str] = frozenset()) -> list[tuple[int, str, str, str | None, str | None]]:
     lines = text.split("\n")
     at = [i for i, s in enumerate(lines) if s.strip() and i + 1 not in gone]
     out = []
@@ -351,7 +371,7 @@ def page_tokens(text: str, gone: set[int]) -> list[tuple[int, str, str, str | No
             if len(a) > 2 and a[-1] in _HYPHENS and a[0].isalpha():
                 out.append((i + 1, "n", form(a.rstrip(_HYPHENS)) + form(b), form(a.rstrip(_HYPHENS)), form(b)))
         for w in words[first:]:
-            if (f := form(w)) and not is_number(f) and any(c.isalpha() for c in f) and f[-1] not in _HYPHENS:
+            if (f := form(w)) and f not in known and is_word(f):
                 out.append((i + 1, "w", f, None, None))
     return out
 
@@ -372,8 +392,10 @@ def _rank_rows(word: str, clean: int, scan: int, found: list[tuple[str, int, int
                      np.log((total + 1) / (clean + scan + 1)), shared, float(len(word)), odd, 0.0, 0.0, float(len(d[0])), float(len(d[1]))])
     x = np.array(rows)
     power = x[:, 0] + 0.5 * x[:, 5]
-    x[:, 10] = [np.sum(power > p - 1.5) - 1 for p in power]
-    x[:, 11] = power - np.array([max([*power[:i], *power[i + 1 :], -20.0]) for i in range(len(power))])
+    order = np.sort(power)
+    x[:, 10] = len(order) - np.searchsorted(order, power - 1.5, side="right") - 1
+    second = order[-2] if len(order) > 1 else -20.0
+    x[:, 11] = power - np.maximum(np.where(power >= order[-1], second, order[-1]), -20.0)
     return x
 
 
@@ -383,10 +405,17 @@ class Ranker:
     def __init__(self, rates: dict[tuple[str, str], float], forest: gbt.Forest):
         self.rates, self.forest = rates, forest
 
-    def best(self, word: str, clean: int, scan: int, found: list[tuple[str, int, int, float]]) -> tuple[str, float]:
-        p = self.forest.predict(_rank_rows(word, clean, scan, found, self.rates))
-        i = int(np.argmax(p))
-        return found[i][0], float(p[i])
+    def best(self, asked: list[tuple[str, int, int, list[tuple[str, int, int, float]]]]) -> list[tuple[str, float]]:
+        """The best candidate of each (form, clean, scan, candidates), and its probability."""
+        if not asked:
+            return []
+        p = self.forest.predict(np.concatenate([_rank_rows(*x, self.rates) for x in asked]))
+        out, at = [], 0
+        for _, _, _, found in asked:
+            i = int(np.argmax(p[at : at + len(found)]))
+            out.append((found[i][0], float(p[at + i])))
+            at += len(found)
+        return out
 
 
 def fit_ranker(lexicon: list[tuple[str, int, int]], odd: list[tuple[str, int]], seed: int = 5) -> Ranker | None:
@@ -471,26 +500,34 @@ def corrections(queries: DataFrame, counts: DataFrame, lexicon: DataFrame) -> Da
         return open_forms.select("form", F.col("form").alias("word"), F.lit(0.0).alias("p")).limit(0)
     model = pickle.dumps(ranker)
 
-    def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            gs = [sorted(grams(w)) for w in b.w]
-            at = np.repeat(np.arange(len(b)), [len(g) for g in gs])
-            yield pd.DataFrame({"w": b.w.to_numpy()[at], "gram": [x for g in gs for x in g], "grams": [len(gs[i]) for i in at]})
-
-    schema = "w string, gram string, grams int"
-    q = open_forms.select(F.col("form").alias("w")).mapInPandas(explode, schema).withColumnRenamed("w", "form")
-    inverted = lexicon.select(F.col("word").alias("w")).mapInPandas(explode, schema).select(F.col("w").alias("word"), "gram")
-    met = q.join(inverted, "gram").filter(F.abs(F.length("form") - F.length("word")) <= 2).groupBy("form", "word", "grams").agg(F.count("*").alias("n"))
-    met = met.filter((F.col("n") >= COMMON_GRAMS * F.col("grams")) & (F.col("form") != F.col("word")))
-    each = met.join(lexicon, "word").groupBy("form").agg(F.collect_list(F.struct("word", "clean", "total", (F.col("n") / F.col("grams")).alias("shared"))).alias("found"))
+            yield pd.DataFrame({"w": b.w, "grams": [sorted(grams(w)) for w in b.w]})
+
+    q = open_forms.select(F.col("form").alias("w")).mapInPandas(listed, "w string, grams array<string>").withColumnRenamed("w", "form")
+    inverted = lexicon.select(F.col("word").alias("w")).mapInPandas(listed, "w string, grams array<string>").select(F.col("w").alias("word"), F.explode("grams").alias("gram"))
+    inverted = stored(inverted, "inverted")
+    # Of the grams of a form that the lexicon has, a candidate has `least` at least, so it has one of the rarest
+    # that are left when least - 1 are put aside: the common grams, with their long lists, are never joined.
+    often = inverted.groupBy("gram").agg(F.count("*").alias("n"))
+    there = q.select("form", F.size("grams").alias("size"), F.explode("grams").alias("gram")).join(often, "gram")
+    least = F.ceil(F.col("size") * COMMON_GRAMS - 1e-9).cast("int")
+    ordered = there.groupBy("form", "size").agg(F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("grams"))
+    prefix = ordered.select("form", F.explode(F.slice("grams", 1, F.greatest(F.size("grams") - least + 1, F.lit(0)))).alias("g")).select("form", F.col("g.gram").alias("gram"))
+    met = prefix.join(inverted, "gram").filter((F.abs(F.length("form") - F.length("word")) <= 2) & (F.col("form") != F.col("word"))).select("form", "word").distinct()
+    each = met.join(lexicon, "word").groupBy("form").agg(F.collect_list(F.struct("word", "clean", "total")).alias("found"))
 
     def rank(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ranker = pickle.loads(model)
-        for b in batches:
-            got = [
-                ranker.best(w, c, s, sorted((x["word"], x["clean"], x["total"], x["shared"]) for x in f)) for w, c, s, f in zip(b.form, b.clean, b.scan, b.found, strict=True)
-            ]
-            yield pd.DataFrame({"form": b.form, "word": [g[0] for g in got], "p": [g[1] for g in got]})
+        for b in (part for whole in batches for part in in_parts(whole, 2000)):
+            asked = []
+            for w, c, s, f in zip(b.form, b.clean, b.scan, b.found, strict=True):
+                g = grams(w)
+                found = [(x["word"], x["clean"], x["total"], n / len(g)) for x in f if (n := len(g & grams(x["word"]))) >= COMMON_GRAMS * len(g)]
+                if found:
+                    asked.append((w, c, s, sorted(found)))
+            got = ranker.best(asked)
+            yield pd.DataFrame({"form": [x[0] for x in asked], "word": [g[0] for g in got], "p": [g[1] for g in got]})
 
     scored = open_forms.join(each, "form").mapInPandas(rank, "form string, word string, p double")
     return scored.filter(F.col("p") >= REPLACE)
@@ -527,12 +564,13 @@ def repairs(segments: DataFrame) -> DataFrame:
     """segment_id, line_no, kind, word, form: every repair of the scanned pages; form is what stands there."""
     page = stored(pages(segments), "pages")
     counts = stored(word_counts(page), "counts")
-    words = counts.agg(F.sum("scan")).first()[0] or 0
+    words, total = (n or 0 for n in counts.agg(F.sum("scan"), F.sum(F.col("clean") + F.col("scan"))).first())
     often = max(LEXICON_SCANNED[0], LEXICON_SCANNED[1] * words)
     whole = (F.col("clean") >= LEXICON) | ((F.col("clean") >= 1) & (F.col("scan") >= 3)) | (F.col("scan") >= often)
     lexicon = counts.filter(whole & F.col("form").rlike(r"^\p{L}+(-\p{L}+)*$")).select(F.col("form").alias("word"), "clean", (F.col("clean") + F.col("scan")).alias("total"))
     removed = stored(furniture(page), "furniture")
-    found = stored(tokens(page, removed), "tokens")
+    frequent = {r.form for r in counts.filter((F.col("clean") > 0) & (F.col("clean") + F.col("scan") >= FREQUENT * total)).select("form").collect()}
+    found = stored(tokens(page, removed, frequent), "tokens")
     ends = found.filter("kind = 'h'").withColumn("kept", F.concat_ws("-", "left", "right"))
     queries = found.filter("kind = 'w'").select("form").union(ends.select("form")).union(ends.select(F.col("kept"))).distinct()
     fixes = stored(corrections(queries, counts, lexicon), "fixes")
@@ -541,7 +579,7 @@ def repairs(segments: DataFrame) -> DataFrame:
     inside = found.filter("kind = 'n'").select("left", "right").orderBy(F.xxhash64("left", "right"), "left", "right").limit(2000).collect()
     model = pickle.dumps(fit_join([(r.word, r.clean, r.total) for r in sample], [(r.left, r.right) for r in inside]))
     # words of scanned pages that misreadings made count for nothing
-    real = counts.filter("clean > 0 or scan >= 3").select("form", (F.col("clean") + F.col("scan")).cast("double").alias("n"))
+    real = counts.join(fixes.select("form"), "form", "left_anti").select("form", (F.col("clean") + F.col("scan")).cast("double").alias("n"))
     for c in ("form", "kept", "left", "right"):
         ends = ends.join(real.select(F.col("form").alias(c), F.col("n").alias(f"n_{c}")), c, "left")
     for c in ("form", "kept"):
