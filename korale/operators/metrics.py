@@ -128,3 +128,16 @@ def token_overlap(a: Column, b: Column) -> Column:
 def preserved(required: Column, text: Column) -> Column:
     """Share of the required strings that text contains; 1 where none is required."""
     return F.coalesce(F.size(F.filter(required, lambda r: text.contains(r))) / F.nullif(F.size(required), F.lit(0)), F.lit(1.0))
+
+
+def preservation(rows: DataFrame) -> DataFrame:
+    """What of the structure predictions keep, over rows (prediction, expected_json, expected_blocks, placeholders): the shares of parsing JSON, of all blocks kept, of leaked placeholders; null where nothing was expected."""
+    text = F.coalesce("prediction", F.lit(""))
+    json_ok = F.try_parse_json("prediction").isNotNull()
+    blocks, marks = F.size(F.coalesce("expected_blocks", F.array().cast("array<string>"))) > 0, F.size(F.coalesce("placeholders", F.array().cast("array<string>"))) > 0
+    kept, leaked = F.forall("expected_blocks", lambda b: text.contains(b)), F.exists("placeholders", lambda b: b.startswith("__PH_") & text.contains(b))
+    rate = lambda case, ok: F.round(F.avg(F.when(case, ok.cast("int"))), 6)
+    return rows.agg(
+        F.count("*").alias("rows"), F.count_if(F.col("expected_json")).alias("json_rows"), rate(F.col("expected_json"), json_ok).alias("json_rate"),
+        F.count_if(blocks).alias("code_rows"), rate(blocks, kept).alias("code_rate"), F.count_if(marks).alias("placeholder_rows"), rate(marks, leaked).alias("leak_rate"),
+    )

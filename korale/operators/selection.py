@@ -66,3 +66,28 @@ def origin_allowed(origin: Column, arm: str, arms: dict[str, tuple[str, ...]]) -
 def not_done(rows: DataFrame, done: DataFrame, *keys: str) -> DataFrame:
     """Rows whose keys aren't done yet (resumption)."""
     return rows.join(done.select(*keys).distinct(), list(keys), "left_anti")
+
+
+ABLATIONS: dict[str, tuple[str, ...]] = {"mixed": (), "english_only": ("english",), "tvl_only": ("synthetic", "anchor")}
+
+
+def ablation(rows: DataFrame, name: str, stage: str = "stage") -> DataFrame:
+    """The rows of the stages of an ablation; all of them for mixed, and an unknown name is an error."""
+    if name not in ABLATIONS:
+        raise ValueError(f"unknown ablation {name}")
+    return rows.filter(F.col(stage).isin(*ABLATIONS[name])) if ABLATIONS[name] else rows
+
+
+def numbered(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """rows with their place (from 0) in the order of a hash of a unique key; counts of hash prefixes spare a sort of all rows in one task."""
+    h = F.sha2(F.col(key).cast("string"), 256)
+    rows = rows.withColumns({"_h": h, "_p": F.substring(h, 1, 3)})
+    before = F.coalesce(F.sum("_k").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = rows.groupBy("_p").agg(F.count("*").alias("_k")).select("_p", before.alias("_before"))  # at most 4096 prefixes
+    place = F.row_number().over(Window.partitionBy("_p").orderBy("_h", key)) - 1 + F.col("_before")
+    return rows.join(F.broadcast(sums), "_p").withColumn(name, place).drop("_h", "_p", "_before")
+
+
+def requests(rows: DataFrame, key: str, body: Column, prefix: str = "request") -> DataFrame:
+    """Rows of a batch of requests: a running custom_id, and the body as JSON."""
+    return numbered(rows, key, "_n").select("*", F.concat(F.lit(f"{prefix}-"), F.col("_n").cast("string")).alias("custom_id"), F.to_json(body).alias("body")).drop("_n")

@@ -90,12 +90,22 @@ def n22(spark, d):
 
 # --- predicates
 
-_START = cleaning.START.replace("'", "''")
-_META = lambda x: (
-    f"(s = '' OR regexp_matches(s, '{_START}') OR regexp_matches(s, '(?i){cleaning.METADATA_ANYWHERE}') OR lower(s) IN ({', '.join(repr(h) for h in cleaning.HEADERS)})"
-    f" OR (regexp_matches(s, '(?i)^{cleaning.SEE_ALSO}') AND length(s) < 120) OR (regexp_matches(s, '(?i){cleaning.DISCLAIMER}') AND length(s) < 400))"
-).replace("(s)", f"({x})").replace("(s ", f"({x} ").replace("(s,", f"({x},")
-_REF = lambda x: f"(contains({x}, '¶') AND length({x}) <= 120 AND regexp_matches({x}, '(?i)^(?:{cleaning.REFERENCE}|{cleaning.SCHEDULE})'))"
+def _meta_sql(x: str) -> str:
+    low, quoted = f"lower(regexp_replace({x}, '\\s+', ' ', 'g'))", lambda words: ", ".join("'" + w + "'" for w in words)
+    labels = "|".join(re.escape(w) for w in cleaning.LABELS)
+    heads = "|".join(cleaning.HEADINGS)
+    return f"""({x} = '' OR {low} IN ({quoted(cleaning.WHOLE)}) OR {x} IN ({quoted(cleaning.WHOLE_CAPITALS)}) OR regexp_matches({low}, '^({labels})')
+      OR regexp_matches({low}, '^({heads})\\s*[0-9]') OR regexp_matches({low}, '^(ch|chapt)\\.? [0-9]') OR regexp_matches({low}, '^\\[(p|pp|page)\\. ?[0-9]')
+      OR regexp_matches({low}, '^© ?[0-9]{{4}}|copyright ?\\(?[c©]\\)? ?[0-9]{{4}}|maps?\\(r\\) copyright')
+      OR (regexp_matches({low}, '^\\(?({"|".join(cleaning.POINTERS)})(\\W|$)') AND length({x}) < 120) OR (regexp_matches({low}, '{"|".join(cleaning.DISCLAIMERS)}') AND length({x}) < 400))"""
+
+
+def _ref_sql(x: str) -> str:
+    low = f"lower(regexp_replace({x}, '\\s+', ' ', 'g'))"
+    return f"""(contains({x}, '¶') AND length({x}) <= 120 AND regexp_matches({low}, '^((no|no\\.|napa) [0-9]+:|[a-z]\\w*\\.* ?[0-9]|([0-9]+[ ,]+)*¶|[^¶]{{0,60}}\\([0-9]+ ?minu?\\.\\)[^¶]*¶|bible reading:)'))"""
+
+
+_META, _REF = _meta_sql, _ref_sql
 
 
 @query("p01_metadata", f"SELECT id, source_file, source_line, {_META('t')} AS metadata, {_REF('t')} AS reference_only FROM (SELECT *, {tx.sql_strip('tvl')} AS t FROM aligned_pairs WHERE tvl IS NOT NULL)")
@@ -120,8 +130,9 @@ def _clean_sql(profile: str) -> str:
       WHEN content_type = 'daily_text' AND text_date LIKE '2025-05%' AND length(tvl) / length(en) < 0.2 THEN 'truncated_daily' END AS reason FROM j)"""
 
 
-def cleaned(spark, d, profile="balanced"):
-    return cleaning.clean(pairs(spark, d).select("id", "source_file", "source_line", "ingested_at", "content_type", "domain", "pub_code", "text_date", "tvl", "en"), profile)
+def cleaned(spark, d, profile="balanced", keep=("id", "source_file", "source_line"), derive=None):
+    rows = pairs(spark, d).select("id", "source_file", "source_line", "ingested_at", "content_type", "domain", "pub_code", "text_date", "tvl", "en")
+    return cleaning.clean(rows, profile, keep, derive)
 
 
 @query("p03_rejections", _clean_sql("balanced") + "SELECT id, source_file, source_line, reason FROM r WHERE reason IS NOT NULL")
@@ -411,16 +422,6 @@ def a02(spark, d):
     return chat.render_summary(chat.render(pairs(spark, d)))
 
 
-@query("m12_prompt_completion")
-def m12(spark, d):
-    prompt, completion = chat.prompt_completion(F.col("messages"))
-    return chat.render(pairs(spark, d)).select("id", prompt.alias("prompt"), completion.alias("completion"))
-
-
-@query("m16_task_families")
-def m16(spark, d):
-    rows = chat.render(pairs(spark, d)).withColumn("family", chat.task_family(F.col("messages")))
-    return rows.groupBy("family", F.array_join(chat.translate_mask(F.col("messages"), F.col("family")), ",").alias("mask")).agg(F.count("*").alias("n"))
 
 
 # --- reports
@@ -428,9 +429,9 @@ def m16(spark, d):
 
 @query("a01_clean_report_by_type", _clean_sql("balanced") + "SELECT content_type, domain, count(*) AS accepted, round(avg(length(tvl)), 4) AS tvl_mean, round(median(length(en)), 4) AS en_median, round(median(length(tvl) / length(en)), 6) AS ratio_median FROM r WHERE reason IS NULL GROUP BY ALL")
 def a01(spark, d):
-    ratio = cleaning.length_ratio(F.col("tvl"), F.col("en"))
-    return cleaned(spark, d).filter("reason is null").groupBy("content_type", "domain").agg(
-        F.count("*").alias("accepted"), F.round(F.avg(F.length("tvl")), 4).alias("tvl_mean"), F.round(F.median(F.length("en")), 4).alias("en_median"), F.round(F.median(ratio), 6).alias("ratio_median")
+    lengths = {"tvl_length": F.length("tvl"), "en_length": F.length("en"), "ratio": cleaning.length_ratio(F.col("tvl"), F.col("en"))}
+    return cleaned(spark, d, keep=("content_type", "domain"), derive=lengths).filter("reason is null").groupBy("content_type", "domain").agg(
+        F.count("*").alias("accepted"), F.round(F.avg("tvl_length"), 4).alias("tvl_mean"), F.round(F.median("en_length"), 4).alias("en_median"), F.round(F.median("ratio"), 6).alias("ratio_median")
     )
 
 

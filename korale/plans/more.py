@@ -202,11 +202,6 @@ def b07(spark, d):
     return selection.not_done(table(spark, d, "articles").select("id").distinct(), table(spark, d, "translations").select(F.col("article_id").alias("id")), "id")
 
 
-@query("p23_family_filter")
-def p23(spark, d):
-    rows = chat.render(pairs(spark, d)).withColumn("task_family", chat.task_family(F.col("messages")))
-    return selection.by_family(rows, include=("translation",), exempt=F.col("vocab")).groupBy("task_family", "vocab").agg(F.count("*").alias("n"))
-
 
 # --- masks and checks
 
@@ -298,11 +293,6 @@ def w16(spark, d):
     return articles(spark, d).select("id").join(last, "id", "left")
 
 
-@query("p06_example_errors")
-def p06(spark, d):
-    rows = chat.render(pairs(spark, d)).withColumn("family", chat.task_family(F.col("messages")))
-    return rows.select("id", F.array_join(chat.example_errors(F.col("id"), F.col("family"), F.col("messages"), ("translation", "chat")), ",").alias("errors")).groupBy("errors").agg(F.count("*").alias("n"))
-
 
 @query("u08_distinct_pairs", f"SELECT count(*) AS rows, count(DISTINCT {tx.sql_squeeze('tvl')} || chr(1) || {tx.sql_squeeze('en')}) AS pairs FROM aligned_pairs WHERE tvl IS NOT NULL AND en IS NOT NULL")
 def u08(spark, d):

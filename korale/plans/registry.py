@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from korale.plans import analytics, corpus, more
+from korale.plans import analytics, chats, corpus, more
+
+MODULES = (corpus, analytics, more, chats)
 
 
 def queries() -> dict:
-    return {**corpus.QUERIES, **analytics.QUERIES, **more.QUERIES}
+    return dict(corpus.QUERIES) | {k: v for m in MODULES for k, v in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**corpus.SQL, **analytics.SQL, **more.SQL}
+    return {k: v for m in MODULES for k, v in m.SQL.items()}

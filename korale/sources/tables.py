@@ -46,6 +46,40 @@ def write_split(df: DataFrame, path: str, by: str = "split") -> None:
     df.write.mode("overwrite").partitionBy(by).parquet(path)
 
 
+def read_json(path: str, default=None):
+    """A JSON file of the driver, or default where it is missing."""
+    try:
+        with open(path, encoding="utf-8") as f:
+            return json.load(f)
+    except FileNotFoundError:
+        return default
+
+
+def read_jsonl_folder(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All JSON lines of a folder; no rows where it is missing."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return spark.read.schema(schema).json(path) if where.getFileSystem(conf).exists(where) else spark.createDataFrame([], schema)
+
+
+def rows_of(spark: SparkSession, sql: str, **args) -> list[dict]:
+    """The rows of a parametrised query, as dicts; for small results."""
+    return [r.asDict(recursive=True) for r in spark.sql(sql, args=args).collect()]
+
+
+def one_of(spark: SparkSession, sql: str, **args) -> dict | None:
+    """The first row of a parametrised query, or nothing."""
+    got = spark.sql(sql, args=args).limit(1).collect()
+    return got[0].asDict(recursive=True) if got else None
+
+
+def database_tables(spark: SparkSession, url: str, names: tuple[str, ...], driver: str = "org.sqlite.JDBC") -> list[str]:
+    """Makes tables of a database (any JDBC address) views of the session, so that one SQL text runs over them and over parquet alike."""
+    for name in names:
+        spark.read.format("jdbc").option("url", url).option("dbtable", name).option("driver", driver).load().createOrReplaceTempView(name)
+    return list(names)
+
+
 def report(df: DataFrame, path: str) -> dict:
     """A one-row aggregate as a JSON file on the driver."""
     row = df.limit(1).collect()
@@ -126,42 +160,3 @@ class Loaders:
 
 
 LOADERS = Loaders()
-
-
-def two_turns(df: DataFrame, prefix: str, family: str, user: Column, assistant: Column, system: Column | None = None, id_: Column | None = None) -> DataFrame:
-    """Examples with one question and one answer; rows without either are left out."""
-    turn = lambda role, c: F.struct(F.lit(role).alias("role"), c.alias("content"))
-    messages = [*([turn("system", system)] if system is not None else []), turn("user", user), turn("assistant", assistant)]
-    given = (F.coalesce(user, F.lit("")) != "") & (F.coalesce(assistant, F.lit("")) != "")
-    key = id_ if id_ is not None else F.concat(F.lit(f"{prefix}-"), F.substring(F.sha2(F.concat_ws("\x01", user, assistant), 256), 1, 16))
-    return df.filter(given).select(key.cast("string").alias("id"), F.lit(family).alias("task_family"), F.array(*messages).alias("messages"))
-
-
-@LOADERS.register("question_answer")
-def _question_answer(spark: SparkSession, path: str) -> DataFrame:
-    return two_turns(spark.read.schema("question string, answer string").json(path), "qa", "math", F.col("question"), F.col("answer"))
-
-
-@LOADERS.register("passage_question")
-def _passage_question(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.schema("id string, context string, question string, answers struct<text:array<string>>").json(path)
-    return two_turns(df.filter(F.coalesce("context", F.lit("")) != ""), "pq", "qa", F.col("question"), F.get("answers.text", F.lit(0)), F.col("context"), F.col("id"))
-
-
-@LOADERS.register("article_highlights")
-def _article_highlights(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.schema("id string, article string, highlights string").json(path)
-    return two_turns(df, "sum", "summarization", F.concat(F.lit("Summarize the following article:\n\n"), "article"), F.col("highlights"), None, F.col("id"))
-
-
-@LOADERS.register("task_code")
-def _task_code(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.schema("task_id string, text string, code string").json(path)
-    return two_turns(df, "code", "code", F.col("text"), F.col("code"), None, F.col("task_id"))
-
-
-@LOADERS.register("prompt_completion")
-def _prompt_completion(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.schema("inputs string, prompt string, targets string, completion string").json(path)
-    given = lambda *c: F.coalesce(*[F.when(F.col(x) != "", F.col(x)) for x in c])
-    return two_turns(df, "task", "chat", given("inputs", "prompt"), given("targets", "completion"))

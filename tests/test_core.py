@@ -241,7 +241,7 @@ def test_sources(spark, tmp_path):
     assert one(spark, src.front_matter(F.col("t")), t='---\ntitle: "A: b"\ndraft: true\n---\nbody') == {"title": "A: b", "draft": "true"}
     assert src.dataset_name(src.file_name("org/name__x")) == "org/name__x"
     (tmp_path / "qa.json").write_text('{"question": "q", "answer": "a"}\n{"question": "", "answer": "a"}\n', encoding="utf-8")
-    rows = src.LOADERS.load("question_answer", spark, str(tmp_path / "qa.json")).collect()
+    rows = src.LOADERS.load("word_problems", spark, str(tmp_path / "qa.json")).collect()
     assert len(rows) == 1 and rows[0].messages[1].content == "a"
 
 
