@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from korale.plans import analytics, chats, corpus, more
+from korale.plans import analytics, chats, corpus, more, strings
 
-MODULES = (corpus, analytics, more, chats)
+MODULES = (corpus, analytics, more, chats, strings)
 
 
 def queries() -> dict:

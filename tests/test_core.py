@@ -16,6 +16,7 @@ from korale.functions import text as tx
 from korale.functions import urls
 from korale.operators import chat, cleaning, collapse, documents, feedback, metrics, pairing, protect, selection, splitting
 from korale.plans import corpus
+from korale.sources import chats as chat_sources
 from korale.sources import tables as src
 from korale.streaming import ingest
 
@@ -241,7 +242,7 @@ def test_sources(spark, tmp_path):
     assert one(spark, src.front_matter(F.col("t")), t='---\ntitle: "A: b"\ndraft: true\n---\nbody') == {"title": "A: b", "draft": "true"}
     assert src.dataset_name(src.file_name("org/name__x")) == "org/name__x"
     (tmp_path / "qa.json").write_text('{"question": "q", "answer": "a"}\n{"question": "", "answer": "a"}\n', encoding="utf-8")
-    rows = src.LOADERS.load("word_problems", spark, str(tmp_path / "qa.json")).collect()
+    rows = chat_sources.LOADERS.load("word_problems", spark, str(tmp_path / "qa.json")).collect()
     assert len(rows) == 1 and rows[0].messages[1].content == "a"
 
 
