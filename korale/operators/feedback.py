@@ -120,3 +120,80 @@ def votes(rows: DataFrame, prompts: DataFrame) -> DataFrame:
     parsed = F.from_json("options_json", "array<string>")
     options = F.when(F.col("options_json").isNull(), F.array().cast("array<string>")).otherwise(F.coalesce(parsed, F.array("options_json")))
     return rows.join(prompts.select("prompt_id", "question", options.alias("options")), "prompt_id", "left")
+
+
+def _event(rows: DataFrame, prefix: str, event: str, signal: str, output: str, label: Column, paragraph: Column, score: Column | None = None, options: Column | None = None) -> DataFrame:
+    return rows.select(
+        F.concat(F.lit(f"{prefix}:"), F.col("id").cast("string")).alias("id"), F.lit(output).alias("output"), F.lit(event).alias("event_type"), F.lit(signal).alias("training_signal_type"),
+        "article_id", paragraph.cast("int").alias("paragraph_idx"), "created_at", label.alias("label"), (score if score is not None else F.lit(None)).cast("double").alias("score"),
+        (options if options is not None else F.lit(None)).cast("array<string>").alias("options"), F.struct("session_id", "island").alias("user"),
+    )
+
+
+def export(rows: DataFrame, forms: DataFrame, signals: DataFrame | None, polls: DataFrame) -> DataFrame:
+    """All interactions as one table of events in four outputs: explicit_feedback, corrections, implicit_signals (none, if signals is None) and poll_votes.
+
+    rows: votes on paragraphs; forms: feedback on articles, which gives a second
+    event where it has a correction; signals and polls as their names say.
+    write_events() writes a folder per output.
+    """
+    c = F.col
+    stated = F.lower(F.trim(c("helpful").cast("string")))
+    helpful = F.coalesce(stated.try_cast("double"), F.when(stated.isin("true", "yes", "helpful"), 1.0).when(stated.isNotNull(), 0.0))
+    corrected = forms.filter(F.trim(F.coalesce("correction_text", F.lit(""))) != "")
+    parsed = F.coalesce(F.from_json("options_json", "array<string>"), F.when(c("options_json").isNotNull(), F.array("options_json")))
+    out = _event(rows, "feedback", "paragraph_feedback", "binary_preference", "explicit_feedback", c("feedback_type"), c("paragraph_idx"), F.when(c("feedback_type") == "thumbs_up", 1).otherwise(0))
+    out = out.unionByName(_event(forms, "article_feedback", "article_feedback", "article_preference", "explicit_feedback", c("correction_text"), c("correction_paragraph_idx"), helpful))
+    out = out.unionByName(_event(corrected, "correction:article_feedback", "correction_suggestion", "freeform_correction", "corrections", c("correction_text"), c("correction_paragraph_idx")))
+    if signals is not None:
+        out = out.unionByName(_event(signals, "implicit", "implicit_signal", "engagement_signal", "implicit_signals", c("signal_type"), c("paragraph_index")))
+    return out.unionByName(_event(polls, "poll_votes", "poll_vote", "community_preference", "poll_votes", c("vote"), F.lit(None), None, parsed))
+
+
+def write_events(events_: DataFrame, path: str) -> dict[str, int]:
+    """A folder of JSON lines per output, and the number of events in each."""
+    events_.write.mode("overwrite").partitionBy("output").json(path)
+    counts = {r.output: r["count"] for r in events_.groupBy("output").count().collect()}
+    return {o: counts.get(o, 0) for o in ("explicit_feedback", "corrections", "implicit_signals", "poll_votes")}
+
+
+def featured_first(rows: DataFrame, featured: str, date: str, ties: tuple[str, ...], limit: int) -> DataFrame:
+    """The first rows: featured ones, then the latest (a list of that length is the feature)."""
+    return rows.orderBy(F.desc(featured), F.desc_nulls_last(date), *ties).limit(limit)
+
+
+def filtered(rows: DataFrame, equal: dict[str, object], order: tuple[str, ...], limit: int) -> DataFrame:
+    """The first rows, in an order, whose columns have the values that are given; values of None don't count."""
+    for name, value in equal.items():
+        rows = rows if value is None else rows.filter(F.col(name) == F.lit(value))
+    return rows.orderBy(*order).limit(limit)
+
+
+def configuration(rows: DataFrame, schema: str) -> DataFrame:
+    """key and its parsed value_json; null where it can't be parsed."""
+    return rows.select("key", F.from_json("value_json", schema).alias("value"))
+
+
+def progress(step: Column, total: Column, seconds: int = 5) -> tuple[Column, Column]:
+    """(per cent done, to a tenth; seconds left)."""
+    return F.round(F.lit(100.0) * step / total, 1), (total - step) * seconds
+
+
+def totals(rows: DataFrame, since: str) -> DataFrame:
+    """Feedback since a day, in all, with an island, and by answer in any case."""
+    kind = F.lower("feedback_type")
+    return rows.agg(
+        F.count_if(F.col("created_at") >= F.lit(since).cast("timestamp_ntz")).alias("recent"), F.count("*").alias("total"), F.count_if(F.trim(F.coalesce("island", F.lit(""))) != "").alias("with_island"),
+        F.count_if(kind == "thumbs_up").alias("yes"), F.count_if(kind == "thumbs_down").alias("no"),
+    )
+
+
+def by_model(rows: DataFrame, run: str, model: str, result: str, order: str) -> DataFrame:
+    """Per run a map from each model to its last result, and the model of the last one."""
+    last = rows.groupBy(run, model).agg(F.max_by(result, order).alias("_v"), F.max(order).alias("_o"))
+    return last.groupBy(run).agg(F.map_from_entries(F.collect_list(F.struct(model, "_v"))).alias("models"), F.max_by(model, "_o").alias("last_model"))
+
+
+def with_baseline(counts: DataFrame, baseline: DataFrame, key: str, n: str) -> DataFrame:
+    """Counts and those of an optional baseline table, added up by key."""
+    return counts.select(key, n).unionByName(baseline.select(key, n)).groupBy(key).agg(F.sum(n).alias(n))

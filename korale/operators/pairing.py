@@ -102,3 +102,46 @@ def line_languages(lines: DataFrame, group: str, order: str, tvl: Column, en: Co
     told = F.when((tvl == 0) & (en == 0), None).when(en > tvl, "en").otherwise("tvl")
     w = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return lines.withColumn("_l", told).withColumn("language", F.coalesce(F.last("_l", ignorenulls=True).over(w), F.lit("en"))).drop("_l")
+
+
+def by_paragraph_id(rows: DataFrame, group: str, side: str, pid: str, text: str) -> DataFrame:
+    """(group, pid, tvl, en, method, confidence) of paragraphs with the same id on both sides.
+
+    A group whose counts differ by more than a fifth, and whose common ids are
+    under 0.8 of the smaller count, gives its whole texts as one pair instead
+    (pid null, confidence 0.6). Else ids pair: with 0.9 where both sides have
+    just the same ids, with 0.8 otherwise; pairs under 20 characters on both
+    sides and lengths beyond 0.15 to 7 are left out. Null texts have no part.
+    """
+    each = rows.filter(F.col(text).isNotNull()).groupBy(group, pid).agg(*[F.max(F.when(F.col(side) == s, F.col(text))).alias(s) for s in ("tvl", "en")])
+    n = each.groupBy(group).agg(F.count("tvl").alias("_a"), F.count("en").alias("_b"), F.count_if(F.col("tvl").isNotNull() & F.col("en").isNotNull()).alias("_c")).filter("_a > 0 and _b > 0")
+    low, high = F.least("_a", "_b"), F.greatest("_a", "_b")
+    apart = ((high - low) / high > 0.2) & (F.col("_c") < low * 0.8)
+    joined = each.join(n.withColumn("_apart", apart), group)
+    ratio = F.length("tvl") / F.nullif(F.length("en"), F.lit(0))
+    fits = ((F.length("tvl") >= 20) | (F.length("en") >= 20)) & F.coalesce(ratio.between(0.15, 7.0), F.lit(True))
+    same = F.when((F.col("_a") == F.col("_b")) & (F.col("_c") == F.col("_a")), 0.9).otherwise(0.8)
+    ids = joined.filter(~F.col("_apart") & F.col("tvl").isNotNull() & F.col("en").isNotNull() & fits)
+    ids = ids.select(group, F.col(pid).alias("pid"), "tvl", "en", F.lit("paragraph_id").alias("method"), same.alias("confidence"))
+    text_of = lambda s: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col(s).isNotNull(), F.struct(pid, s)))), lambda x: x[s]), " ").alias(s)
+    whole = joined.filter("_apart").groupBy(group).agg(text_of("tvl"), text_of("en"))
+    kind = rows.schema[pid].dataType
+    return ids.unionByName(whole.select(group, F.lit(None).cast(kind).alias("pid"), "tvl", "en", F.lit("document_level").alias("method"), F.lit(0.6).alias("confidence")))
+
+
+def by_page(documents: DataFrame, key: str, least: int = 30) -> DataFrame:
+    """(key, page, place, tvl, en, confidence) of the paragraphs of two texts (tvl, en) whose pages are divided by form feeds: pages by their place, paragraphs within a page as by_place() does. Page numbers, addresses and paragraphs under `least` characters are left out."""
+    from korale.functions.strings import clean_paragraph, is_boilerplate, long_paragraphs
+
+    pages = lambda c: F.filter(F.split(c, "\f"), lambda p: F.trim(p) != "")
+    both = documents.select(F.col(key).cast("string").alias("_key"), F.posexplode(F.arrays_zip(pages(F.col("tvl")).alias("a"), pages(F.col("en")).alias("b"))).alias("page", "p")).filter("p.a is not null and p.b is not null")
+    kept = lambda c: F.filter(long_paragraphs(c, least), lambda p: ~is_boilerplate(p))
+    sides = [both.select("_key", "page", F.lit(s).alias("side"), F.posexplode(F.transform(kept(F.col(f"p.{c}")), clean_paragraph)).alias("place", "text")) for s, c in (("tvl", "a"), ("en", "b"))]
+    rows = sides[0].unionByName(sides[1]).withColumn("_page", F.concat_ws("\x01", "_key", "page"))
+    out = by_place(rows, "_page", "side", "place", "text")
+    return out.select(F.substring_index("_page", "\x01", 1).alias(key), F.substring_index("_page", "\x01", -1).cast("int").alias("page"), "place", "tvl", "en", "confidence")
+
+
+def with_default(rows: DataFrame, lookup: DataFrame, key: str, value: str, default: str) -> DataFrame:
+    """rows with a value looked up by a key, and the default where there is none; the lookup has one row per key."""
+    return rows.join(lookup.select(key, value), key, "left").withColumn(value, F.coalesce(value, F.lit(default)))

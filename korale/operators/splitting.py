@@ -81,6 +81,17 @@ def quota_prefix(rows: DataFrame, group: str, key: str, size: Column, quota: int
     return rows.withColumn("_before", F.coalesce(F.sum(size).over(w), F.lit(0))).filter(F.col("_before") < quota).drop("_before")
 
 
+def split_documents(rows: DataFrame, held: DataFrame, key: str, validation_percent: int) -> DataFrame:
+    """rows with a split, without those of held-out documents and without a document: a share of the documents, by hash, is validation."""
+    left = rows.filter(F.col(key).isNotNull()).join(held.select(key), key, "left_anti")
+    return left.withColumn("split", F.when(bucket(F.col(key), 100) < validation_percent, "validation").otherwise("train"))
+
+
+def variant(key: Column, options: tuple[str, ...]) -> Column:
+    """One of the options, by a hash of the key."""
+    return F.get(F.array(*map(F.lit, options)), bucket(key, len(options)).cast("int"))
+
+
 # --- decontamination
 
 
@@ -90,12 +101,12 @@ def sides(pairs: DataFrame, *keep: str) -> DataFrame:
     return pairs.select("id", *keep, F.inline(both))
 
 
-def _looked_up(keys: DataFrame) -> DataFrame:
+def looked_up(keys: DataFrame) -> DataFrame:
     """keys for a semi or anti join: broadcast where they are few, which spares shuffling the texts."""
     return F.broadcast(keys) if keys.count() <= FEW_KEYS else keys
 
 
-def _runs(k: int, *also: Column) -> Column:
+def runs(k: int, *also: Column) -> Column:
     """Hashes of all runs of k of the words."""
     runs = F.transform(F.sequence(F.lit(1), F.size("words") - (k - 1)), lambda i: F.xxhash64(F.lit(k), *also, F.slice("words", i, F.lit(k))))
     return F.when(F.size("words") >= k, runs).otherwise(F.array().cast("array<bigint>"))
@@ -105,9 +116,9 @@ def _near(rows: DataFrame, texts: DataFrame, n: int, lead: int) -> DataFrame:
     """(id, side) of the rows that may share n words with a text, or the first `lead` ones of a shorter text of the same side; by hashes, so nothing is missed and a few are too many."""
     texts = texts.withColumn("words", tokens(F.col("form")))
     short = texts.filter(F.size("words").between(4, n - 1)).select(F.xxhash64(F.lit(lead), "side", F.slice("words", 1, lead)).alias("run"))
-    index = texts.select(F.explode(_runs(n)).alias("run")).unionByName(short).distinct()
-    own = rows.select("id", "side", tokens(F.col("form")).alias("words")).select("id", "side", F.explode(F.concat(_runs(n), _runs(lead, F.col("side")))).alias("run"))
-    return own.join(_looked_up(index), "run", "left_semi").select("id", "side").distinct()
+    index = texts.select(F.explode(runs(n)).alias("run")).unionByName(short).distinct()
+    own = rows.select("id", "side", tokens(F.col("form")).alias("words")).select("id", "side", F.explode(F.concat(runs(n), runs(lead, F.col("side")))).alias("run"))
+    return own.join(looked_up(index), "run", "left_semi").select("id", "side").distinct()
 
 
 def contamination(train: DataFrame, held: DataFrame, n: int = NGRAM, containment: float = CONTAINMENT, exact: DataFrame | None = None) -> DataFrame:
@@ -118,13 +129,13 @@ def contamination(train: DataFrame, held: DataFrame, n: int = NGRAM, containment
     in a row, or a run of more than `containment` of them from its first word on.
     """
     rows, texts = sides(train), sides(held).select("side", "form").distinct()
-    hashes = _looked_up((texts if exact is None else sides(exact)).select(F.sha2("form", 256).alias("h")).distinct())
+    hashes = looked_up((texts if exact is None else sides(exact)).select(F.sha2("form", 256).alias("h")).distinct())
     rows = rows.withColumn("h", F.sha2("form", 256))
     hit = _exact(rows, hashes)
     rest = rows.join(hashes, "h", "left_anti").filter("form != ''").drop("h")
     # few rows are near enough to be compared; their texts alone are shuffled
     near = stored(_near(rest, texts, n, min(_lead(k, containment) for k in range(4, n))), "near")
-    rest = rest.join(_looked_up(near), ["id", "side"], "left_semi").distinct()
+    rest = rest.join(looked_up(near), ["id", "side"], "left_semi").distinct()
     index = texts.select(F.explode(ngrams(tokens(F.col("form")), n)).alias("gram")).distinct()
     own = rest.select("id", "side", F.explode(ngrams(tokens(F.col("form")), n)).alias("gram")).distinct()
     total = own.groupBy("id", "side").agg(F.count("*").alias("total"))
@@ -159,7 +170,7 @@ def _exact(rows: DataFrame, hashes: DataFrame) -> DataFrame:
 def decontamination(train: DataFrame, held: DataFrame, n: int = NGRAM, containment: float = CONTAINMENT) -> DataFrame:
     """contamination() of all training rows (id, content_type, tvl, en): the exact text of any held-out row, and for rows that aren't verses also the n-grams and short texts of held-out verses."""
     verse = F.coalesce(F.col("content_type") == "bible_verse", F.lit(False))
-    hashes = _looked_up(sides(held).select(F.sha2("form", 256).alias("h")).distinct())
+    hashes = looked_up(sides(held).select(F.sha2("form", 256).alias("h")).distinct())
     verses = _exact(sides(train.filter(verse)).withColumn("h", F.sha2("form", 256)), hashes)
     return contamination(train.filter(~verse), held.filter(verse), n, containment, held).unionByName(verses)
 

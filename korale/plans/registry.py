@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from korale.plans import analytics, chats, corpus, more, strings
+from korale.plans import analytics, chats, corpus, more, reports, strings
 
-MODULES = (corpus, analytics, more, chats, strings)
+MODULES = (corpus, analytics, more, chats, strings, reports)
 
 
 def queries() -> dict:
