@@ -31,27 +31,41 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"([{LETTERS}]+)"), 1)
 
 
-def language_scores(text: Column) -> tuple[Column, Column]:
-    """(tvl, en): hint words, and for tvl its letters."""
-    hint = lambda listed: F.size(F.filter(words(text), lambda w: w.isin(*listed)))
-    return hint(TVL_HINTS) + hint(PLACE_HINTS) + F.length(F.regexp_replace(text, f"[^{TVL_LETTERS}]", "")), hint(EN_HINTS)
+def _once(value: Column, of) -> Column:
+    """of(value), with the value worked out once however often `of` uses it."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
+def language_scores(text: Column) -> Column:
+    """A struct of the scores tvl and en: hint words, and for tvl its letters."""
+    hints = lambda ws, listed: F.size(F.filter(ws, lambda w: w.isin(*listed)))
+    letters = F.length(F.regexp_replace(text, f"[^{TVL_LETTERS}]", ""))
+    return _once(words(text), lambda ws: F.struct((hints(ws, (*TVL_HINTS, *PLACE_HINTS)) + letters).alias("tvl"), hints(ws, EN_HINTS).alias("en")))
 
 
 def guess_language(text: Column, path: Column | None = None) -> Column:
     """tvl or en where its score is at least 2 and twice the other's, else mixed; unknown without any hint."""
-    tvl, en = language_scores(F.coalesce(text, F.lit("")))
+    extra = F.lit(0), F.lit(0)
     if path is not None:
         low = F.lower(F.coalesce(path, F.lit("")))
-        tvl += F.when(low.contains("tuvaluan") | low.contains("tuv_") | low.endswith("_tvl.pdf"), 2).otherwise(0)
-        en += F.when(low.endswith("_en.pdf") | low.contains("english"), 2).otherwise(0)
-    guess = F.when((tvl >= en * 2) & (tvl >= 2), "tvl").when((en >= tvl * 2) & (en >= 2), "en").otherwise("mixed")
-    return F.when(((tvl == 0) & (en == 0)) | (drop_blank_lines(F.coalesce(text, F.lit(""))) == ""), "unknown").otherwise(guess)
+        extra = (
+            F.when(low.contains("tuvaluan") | low.contains("tuv_") | low.endswith("_tvl.pdf"), 2).otherwise(0),
+            F.when(low.endswith("_en.pdf") | low.contains("english"), 2).otherwise(0),
+        )
+
+    def told(scores: Column) -> Column:
+        tvl, en = scores["tvl"] + extra[0], scores["en"] + extra[1]
+        guess = F.when((tvl >= en * 2) & (tvl >= 2), "tvl").when((en >= tvl * 2) & (en >= 2), "en").otherwise("mixed")
+        return F.when((tvl == 0) & (en == 0), "unknown").otherwise(guess)
+
+    blank = ~F.coalesce(text, F.lit("")).rlike(r"(?U)[^\s\x{FEFF}]")
+    return F.when(blank, "unknown").otherwise(_once(language_scores(F.coalesce(text, F.lit(""))), told))
 
 
 def hint_share(text: Column) -> Column:
     """The tvl score's share of both scores; 0 without any."""
-    tvl, en = language_scores(F.coalesce(text, F.lit("")))
-    return F.coalesce(tvl / F.nullif(tvl + en, F.lit(0)), F.lit(0.0))
+    share = lambda s: F.coalesce(s["tvl"] / F.nullif(s["tvl"] + s["en"], F.lit(0)), F.lit(0.0))
+    return _once(language_scores(F.coalesce(text, F.lit(""))), share)
 
 
 def entities(text: Column) -> Column:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from korale.operators.splitting import placed
+
 
 def hash_sample(rows: DataFrame, key: str, n: int) -> DataFrame:
     """n rows in the order of a hash of their key (a sampling operator: the limit is its purpose)."""
@@ -16,8 +18,7 @@ def quotas(rows: DataFrame, slice_: Column, key: str, counts: dict[str, int]) ->
     """Per slice its quota of rows, in the order of a hash of their key."""
     quota = F.create_map(*[x for s, n in counts.items() for x in (F.lit(s), F.lit(n))])
     rows = rows.withColumn("slice", slice_).filter(F.col("slice").isin(*counts))
-    w = Window.partitionBy("slice").orderBy(F.sha2(F.col(key).cast("string"), 256), key)
-    return rows.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= F.element_at(quota, F.col("slice"))).drop("_r")
+    return placed(rows, "slice", key, "_r").filter(F.col("_r") <= F.element_at(quota, F.col("slice"))).drop("_r")
 
 
 def epoch_order(rows: DataFrame, key: str, seed: int, epoch: int) -> DataFrame:

@@ -42,12 +42,22 @@ def assign_split(pub: bool = False, validation_books: tuple[int, ...] = VALIDATI
     return F.when(F.col("content_type") == "bible_verse", verse).otherwise(hash_split(group_key(pub)))
 
 
+def placed(rows: DataFrame, group: str, key: str, name: str) -> DataFrame:
+    """rows with their place (from 1) within their group in the order of a hash of the key. Tasks order one hash prefix of a group each, and counts of prefixes give what comes before, so a group that holds a third of all rows is no hot task. Null groups are one group."""
+    h = F.sha2(F.col(key).cast("string"), 256)
+    rows = rows.withColumns({"_h": h, "_p": F.substring(h, 1, 3)})
+    sums = rows.groupBy(F.col(group).alias("_g"), F.col("_p").alias("_q")).agg(F.count("*").alias("_k"))
+    before = F.coalesce(F.sum("_k").over(Window.partitionBy("_g").orderBy("_q").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = rows.join(sums.select("_g", "_q", before.alias("_before")), F.col(group).eqNullSafe(F.col("_g")) & (F.col("_p") == F.col("_q")))
+    place = F.row_number().over(Window.partitionBy(group, "_p").orderBy("_h", key)) + F.col("_before")
+    return rows.withColumn(name, place).drop("_h", "_p", "_g", "_q", "_before")
+
+
 def holdout(docs: DataFrame, stratum: str, key: str, share: float = 0.18) -> DataFrame:
     """A fixed share of each stratum, at least one row, in the order of a hash of the key; halves are rounded to even."""
-    n = docs.groupBy(stratum).agg(F.count("*").alias("_n"))
-    w = Window.partitionBy(stratum).orderBy(F.sha2(F.col(key).cast("string"), 256), key)
-    ranked = docs.withColumn("_r", F.row_number().over(w)).join(n, stratum)
-    return ranked.filter(F.col("_r") <= F.greatest(F.lit(1), F.bround(F.col("_n") * share, 0))).drop("_r", "_n")
+    n = docs.groupBy(F.col(stratum).alias("_s")).agg(F.count("*").alias("_n"))
+    ranked = placed(docs, stratum, key, "_r").join(n, F.col(stratum).eqNullSafe(F.col("_s")))
+    return ranked.filter(F.col("_r") <= F.greatest(F.lit(1), F.bround(F.col("_n") * share, 0))).drop("_r", "_n", "_s")
 
 
 def cap_share(rows: DataFrame, capped: Column, key: str, share: float) -> DataFrame:

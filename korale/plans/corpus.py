@@ -324,13 +324,13 @@ def g01(spark, d):
 
 
 def _held(spark, d):
-    rows = pairs(spark, d).filter("content_type in ('bible_verse', 'expression')").select("id", "split", "tvl", "en")
+    rows = pairs(spark, d).select("id", "split", "tvl", "en")
     return rows.filter("split = 'train'"), rows.filter("split in ('validation', 'test')")
 
 
 @query(
     "g04_contamination",
-    f"""WITH s AS (SELECT DISTINCT id, split, side, form FROM (SELECT id, split, 'tvl' AS side, {_FORM("coalesce(tvl, '')")} AS form FROM aligned_pairs WHERE content_type IN ('bible_verse', 'expression') UNION ALL SELECT id, split, 'en', {_FORM("coalesce(en, '')")} FROM aligned_pairs WHERE content_type IN ('bible_verse', 'expression'))),
+    f"""WITH s AS (SELECT DISTINCT id, split, side, form FROM (SELECT id, split, 'tvl' AS side, {_FORM("coalesce(tvl, '')")} AS form FROM aligned_pairs UNION ALL SELECT id, split, 'en', {_FORM("coalesce(en, '')")} FROM aligned_pairs)),
     w AS (SELECT *, list_filter(string_split(form, ' '), w -> w <> '') AS t FROM s), h AS (SELECT DISTINCT side, form, t FROM w WHERE split IN ('validation', 'test')), r AS (SELECT DISTINCT id, side, form, t FROM w WHERE split = 'train'),
     e AS (SELECT id, side FROM r WHERE form IN (SELECT form FROM h)), rest AS (SELECT * FROM r WHERE form NOT IN (SELECT form FROM h) AND form <> ''),
     hg AS (SELECT DISTINCT unnest([array_to_string(t[i:i+9], ' ') FOR i IN range(1, len(t) - 8)]) AS g FROM h WHERE len(t) >= 10),
@@ -344,7 +344,18 @@ def g04(spark, d):
     return splitting.contamination(*_held(spark, d))
 
 
-@query("g05_decontaminate")
+@query(
+    "g05_decontaminate",
+    f"""WITH s AS (SELECT DISTINCT id, split, coalesce(content_type = 'bible_verse', false) AS verse, side, form FROM (SELECT id, split, content_type, 'tvl' AS side, {_FORM("coalesce(tvl, '')")} AS form FROM aligned_pairs UNION ALL SELECT id, split, content_type, 'en', {_FORM("coalesce(en, '')")} FROM aligned_pairs)),
+    w AS (SELECT *, list_filter(string_split(form, ' '), w -> w <> '') AS t FROM s), a AS (SELECT DISTINCT form FROM w WHERE split IN ('validation', 'test')), h AS (SELECT DISTINCT side, form, t FROM w WHERE split IN ('validation', 'test') AND verse), r AS (SELECT DISTINCT id, verse, side, form, t FROM w WHERE split = 'train'),
+    e AS (SELECT id, side FROM r WHERE form IN (SELECT form FROM a)), rest AS (SELECT * FROM r WHERE NOT verse AND form NOT IN (SELECT form FROM a) AND form <> ''),
+    hg AS (SELECT DISTINCT unnest([array_to_string(t[i:i+9], ' ') FOR i IN range(1, len(t) - 8)]) AS g FROM h WHERE len(t) >= 10),
+    rg AS (SELECT DISTINCT id, side, unnest([array_to_string(t[i:i+9], ' ') FOR i IN range(1, len(t) - 8)]) AS g FROM rest WHERE len(t) >= 10), o AS (SELECT DISTINCT id, side FROM rg WHERE g IN (SELECT g FROM hg)),
+    k AS (SELECT side, ' ' || array_to_string(t[1:floor(0.6 * len(t))::INT + 1], ' ') || ' ' AS lead FROM h WHERE len(t) BETWEEN 4 AND 9),
+    c AS (SELECT DISTINCT rest.id, rest.side FROM rest JOIN k ON rest.side = k.side AND contains(' ' || rest.form || ' ', k.lead) WHERE (rest.id, rest.side) NOT IN (SELECT (id, side) FROM o)),
+    l AS (SELECT id, 'exact_match' AS level FROM e UNION ALL SELECT id, 'ngram_overlap' FROM o UNION ALL SELECT id, 'high_containment' FROM c), b AS (SELECT id, array_to_string(list_sort(list_distinct(list(level))), ',') AS levels FROM l GROUP BY 1)
+    SELECT t.id, CASE WHEN b.levels IS NULL THEN 'train' ELSE 'quarantined' END AS split, coalesce(b.levels, '') AS levels FROM (SELECT DISTINCT id FROM aligned_pairs WHERE split = 'train') t LEFT JOIN b ON t.id = b.id""",
+)
 def g05(spark, d):
     rows = pairs(spark, d).select("id", "content_type", "split", "tvl", "en")
     train, held = rows.filter("split = 'train'"), rows.filter("split in ('validation', 'test')")

@@ -100,5 +100,6 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def keyed(df: DataFrame, *keys: str) -> DataFrame:
-    """df partitioned by keys into the session's number of shuffle partitions, which a later grouping by them reuses and AQE doesn't join into few."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    """df partitioned by keys, for Python stages over the groups: the session's number of shuffle partitions, or two per split of the input where that is more, so that partitions stay small whatever the size."""
+    session = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(session, 2 * df.rdd.getNumPartitions()), *keys)
