@@ -486,7 +486,8 @@ def q04(spark, d):
 
 @query(
     "e01_sentences",
-    None,
+    f"""SELECT doc_id, len(list_filter(string_split(regexp_replace({tx.sql_squeeze('text')}, '([.!?])\\s+([A-ZĀĒĪŌŪ0-9])', '\\1' || chr(1) || '\\2', 'g'), chr(1)), s -> s <> ''))::INT AS sentences,
+    (list_filter(list_transform(string_split_regex(replace(text, chr(65279), ''), '\\r\\n|[\\n\\r]'), l -> {tx.sql_strip("regexp_replace(l, '[ \\t\\x{A0}]+', ' ', 'g')")}), l -> l <> ''))[1] AS headline FROM documents WHERE text IS NOT NULL""",
 )
 def e01(spark, d):
     return table(spark, d, "documents").filter("text is not null").select("doc_id", F.size(tx.sentences(F.col("text"))).alias("sentences"), documents.headline(F.col("text")).alias("headline"))

@@ -46,7 +46,11 @@ def n02(spark, d):
     return pairing.correct_macrons(pairs(spark, d).filter("tvl is not null").select("id", "tvl").distinct(), "id", "tvl", _macrons(spark, d))
 
 
-@query("n05_line_structure")
+@query(
+    "n05_line_structure",
+    "SELECT doc_id, length(" + tx.sql_strip("array_to_string(list_transform(string_split_regex(nfc_normalize(text), '\\r\\n|[\\n\\r]'), l -> " + tx.sql_strip("regexp_replace(l, '[ \\t]+', ' ', 'g')") + "), chr(10))") + ")::INT AS chars, length(array_to_string(list_filter(list_transform(string_split_regex(replace(text, chr(65279), ''), '\\r\\n|[\\n\\r]'), l -> "
+    + tx.sql_strip("regexp_replace(l, '[ \\t\\x{A0}]+', ' ', 'g')") + "), l -> l <> ''), chr(10)))::INT AS dense_chars FROM documents WHERE text IS NOT NULL",
+)
 def n05(spark, d):
     return table(spark, d, "documents").filter("text is not null").select("doc_id", F.length(tx.normalize_lines(F.col("text"))).alias("chars"), F.length(tx.drop_blank_lines(F.col("text"))).alias("dense_chars"))
 
@@ -148,9 +152,15 @@ def j03(spark, d):
     return got.select("pair_id", "place", "confidence")
 
 
-@query("j05_numbered_paragraphs")
+@query(
+    "j05_numbered_paragraphs",
+    """WITH n AS (SELECT pair_id, side, sent_no + length(sentence) % 2 AS number, (sent_no + length(sentence) % 2) || '. ' || sentence AS t FROM pair_sentences WHERE sentence IS NOT NULL), m AS (SELECT pair_id, number, side, min(t) AS t FROM n GROUP BY ALL)
+    SELECT a.pair_id, a.number, a.t AS tvl, b.t AS en FROM m a JOIN m b ON a.pair_id = b.pair_id AND a.number = b.number AND a.side = 'tvl' AND b.side = 'en'""",
+)
 def j05(spark, d):
-    return pairing.by_number(table(spark, d, "pair_sentences"), "pair_id", "side", "sentence")
+    number = (F.col("sent_no") + F.length("sentence") % 2).cast("string")
+    rows = table(spark, d, "pair_sentences").filter("sentence is not null").select("pair_id", "side", F.concat(number, F.lit(". "), "sentence").alias("sentence"))
+    return pairing.by_number(rows, "pair_id", "side", "sentence")
 
 
 @query("j06_alternating_lines")
@@ -206,10 +216,12 @@ def b07(spark, d):
 # --- masks and checks
 
 
-@query("m07_mask_round_trip")
+@query("m07_mask_round_trip", "SELECT id, fetched_at, md5(body_en) AS text, regexp_matches(body_en, '`[^`]+`|https?://') AS has_spans FROM articles WHERE body_en IS NOT NULL AND NOT contains(body_en, '__PH')")
 def m07(spark, d):
-    rows = table(spark, d, "articles").filter("body_en is not null").select("id", "fetched_at", "body_en", protect.mask_spans("body_en").alias("m"))
-    return rows.select("id", "fetched_at", F.size("m.spans").alias("spans"), (protect.unmask(F.col("m.masked"), F.col("m.spans")) == F.col("body_en")).alias("restored"))
+    """What was masked and restored is the text again, and texts with addresses or code have spans."""
+    rows = table(spark, d, "articles").filter("body_en is not null and not contains(body_en, '__PH')").select("id", "fetched_at", "body_en", protect.mask_spans("body_en").alias("m"))
+    marked = F.col("body_en").rlike("`[^`]+`|https?://")
+    return rows.select("id", "fetched_at", F.md5(protect.unmask(F.col("m.masked"), F.col("m.spans"))).alias("text"), (marked & (F.size("m.spans") > 0)).alias("has_spans"))
 
 
 @query("q11_translation_problems")
