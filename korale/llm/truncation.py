@@ -11,7 +11,9 @@ a closing tag, that is expected or demanded. Whether a text without terminator
 nevertheless ends a sentence is told by end statistics, counted over all
 rows: how often a word, and the skeleton of the last words (frequent words
 kept, others by kind), ends a sentence. The counts stay distributed: a text
-whose end must be looked up is joined with them by the keys of its end.
+whose end must be looked up is joined with them by the keys of its end. Where a
+source has far more texts without end at one length than at lengths nearby,
+that length is a limit of its field and counts against such a text.
 
 Defined results: null and blank texts are never cut; repeated rows count once;
 a row without source is judged as one of a source that ends its texts with
@@ -20,6 +22,7 @@ terminators and without tags; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -30,6 +33,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from korale.functions.folding import INVISIBLES, fold, unescape
 from korale.session import stored, table
@@ -43,6 +47,9 @@ LEAST = 10  # occurrences of a skeleton before it is used
 WHOLE = -3.0  # log odds from which an end without terminator is a sentence's end
 USUAL = 0.8  # share of a source's texts from which its lack of terminators is its baseline
 SEEN = 3  # occurrences from which a word is known to be whole
+NEARBY = 10  # characters to either side with which the texts of one length are compared
+PEAK, PEAK_RATIO = 8, 5.0  # texts without end at a limit, and how many times as many as nearby they must be
+MOST_WEIGHT = 6.0
 TAGGED = 0.5  # the same for a closing tag
 
 _MARK = re.compile(r"[“”\"«»()\[\]{}]|</?[a-zA-Z][^<>]*>|<[^<>]*$|<!--|-->|&#?\w{0,10}$|\\(?:u[0-9a-fA-F]{0,3}|x[0-9a-fA-F]?)?$|�")
@@ -298,6 +305,21 @@ def baselines(rows: DataFrame, source: str, text: str) -> DataFrame:
     )
 
 
+def limits(judged: DataFrame) -> DataFrame:
+    """source, kind (chars or bytes), n, weight: the lengths at which a source cuts its texts.
+
+    At a limit far more texts lack their end than at lengths nearby; weight is
+    the log of that ratio. Lengths next to the limit, where blanks were cut off
+    after it, show the same and are found in the same way.
+    """
+    each = judged.filter("source is not null and chars > 0").select("source", F.col("probe").isNotNull().cast("bigint").alias("open"), F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("n")) for k in ("chars", "bytes")])))
+    counted = each.groupBy("source", "kind", "n").agg(F.count("*").alias("all"), F.sum("open").alias("open"))
+    w = Window.partitionBy("source", "kind").orderBy("n")  # one row per length, so a source has as many as its longest text has characters at most
+    beside = (F.coalesce(F.sum("open").over(w.rangeBetween(-NEARBY, -3)), F.lit(0)) + F.coalesce(F.sum("open").over(w.rangeBetween(3, NEARBY)), F.lit(0))) / (2 * (NEARBY - 2))
+    peaks = counted.withColumn("weight", F.log(F.col("open") / F.greatest(beside, F.lit(1.0))))
+    return peaks.filter((F.col("open") >= PEAK) & (F.col("weight") >= math.log(PEAK_RATIO)) & (F.col("open") * 2 >= F.col("all"))).select("source", "kind", "n", F.least("weight", F.lit(MOST_WEIGHT)).alias("weight"))
+
+
 def truncated(rows: DataFrame, key: str, text: str, source: str, kinds: str | None = None) -> DataFrame:
     """One row per row of rows: key, source, cut (boolean).
 
@@ -318,17 +340,22 @@ def truncated(rows: DataFrame, key: str, text: str, source: str, kinds: str | No
         for b in batches:
             got = [judge(t, frequent) if not short else Judgement(bool(t) and t.rstrip()[-1:] == "�") for t, short in zip(b.t, b.short, strict=True)]
             yield pd.DataFrame(
-                {key: b.k, "source": b.s, "known": [g.cut for g in got], "untagged": [g.untagged for g in got], "keys": [g.keys for g in got], "shift": [g.shift for g in got]}
+                {key: b.k, "source": b.s, "known": [g.cut for g in got], "untagged": [g.untagged for g in got], "keys": [g.keys for g in got], "shift": [g.shift for g in got], "chars": b.chars, "bytes": b.bytes}
             )
 
+    raw = F.coalesce(F.col(text), F.lit(""))
     plain = F.col(text).rlike(r"[^.][.!?]$") & ~F.col(text).rlike(MARKED)  # these are whole: a terminator and nothing to be left open
-    asked = rows.select(F.col(key).alias("k"), F.when(~plain, F.col(text)).alias("t"), F.col(source).alias("s"), short.alias("short"))
-    judged = asked.mapInPandas(run, f"`{key}` {kind}, source string, known boolean, untagged boolean, keys array<bigint>, shift double")
+    asked = rows.select(F.col(key).alias("k"), F.when(~plain, F.col(text)).alias("t"), F.col(source).alias("s"), short.alias("short"), F.length(raw).alias("chars"), F.octet_length(raw).alias("bytes"))
+    judged = asked.mapInPandas(run, f"`{key}` {kind}, source string, known boolean, untagged boolean, keys array<bigint>, shift double, chars int, bytes int")
     judged = stored(judged.withColumn("probe", F.when(F.col("keys").isNotNull(), F.xxhash64("keys"))), "judged")
     odds = log_odds(judged.filter("probe is not null").select("probe", "keys").dropDuplicates(["probe"]), counts)
     base = baselines(rows, source, text).select("source", (F.col("tagged") >= TAGGED).alias("tags"), (F.col("terminated") < 1 - USUAL).alias("bare"))
-    joined = judged.select(key, "source", "known", "untagged", "probe", "shift").join(base.filter("source is not null"), "source", "left").join(odds, "probe", "left")
-    below = F.col("odds") + F.col("shift") + F.when(F.col("bare"), 2.0).otherwise(0.0) < WHOLE  # a source that does without terminators
+    joined = judged.select(key, "source", "known", "untagged", "probe", "shift", "chars", "bytes").join(base.filter("source is not null"), "source", "left").join(odds, "probe", "left")
+    found = stored(limits(judged), "limits")
+    for c in ("chars", "bytes"):
+        joined = joined.join(found.filter(F.col("kind") == c).select("source", F.col("n").alias(c), F.col("weight").alias(f"at_{c}")), ["source", c], "left")
+    at_limit = F.greatest(F.coalesce("at_chars", F.lit(0.0)), F.coalesce("at_bytes", F.lit(0.0)))
+    below = F.col("odds") + F.col("shift") - at_limit + F.when(F.col("bare"), 2.0).otherwise(0.0) < WHOLE  # a source that does without terminators
     cut = (F.col("untagged") & F.coalesce("tags", F.lit(False))) | F.coalesce("known", below, F.lit(False))
     return joined.select(key, "source", cut.alias("cut"))
 

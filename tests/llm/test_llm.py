@@ -324,6 +324,20 @@ def test_truncation_knows_words_that_a_sample_lacks(spark):
     assert got == {"cut"}
 
 
+def test_truncation_finds_the_limits_of_fields(spark):
+    rng = random.Random(21)
+    word = lambda: rng.choice(WORDS)
+    sentence = lambda: f"te {word()} ne {word()} ki te {word()} o {word()}"
+    texts = [". ".join(sentence() for _ in range(rng.randint(1, 7))) + "." for _ in range(3000)]
+    rows = [(f"a{i}", t[:90], "narrow") for i, t in enumerate(texts)] + [(f"b{i}", t, "wide") for i, t in enumerate(texts)]
+    rows += [("n", None, "narrow"), ("s", texts[0], None)]
+    whole = {f"a{i}" for i, t in enumerate(texts) if len(t) <= 90 or t[89] == "."} | {f"b{i}" for i in range(3000)} | {"n", "s"}
+    df = spark.createDataFrame(rows, "id string, body string, src string")
+    got = {r.id for r in truncation.truncated(df, "id", "body", "src").filter("cut").collect()}
+    cut = {r[0] for r in rows} - whole
+    assert not got & whole and len(got & cut) > 0.9 * len(cut)
+
+
 def test_open_marks():
     assert truncation.open_marks("“a (b) [c]” <p>x</p>") == []
     assert truncation.open_marks("“a (b") == ["“", "("]
