@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from korale.plans import analytics, chats, corpus, more, reports, strings
+from korale.plans import analytics, chats, corpus, grounded, more, reports, strings
 
-MODULES = (corpus, analytics, more, chats, strings, reports)
+MODULES = (corpus, analytics, more, chats, strings, reports, grounded)
 
 
 def queries() -> dict:
