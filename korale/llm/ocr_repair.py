@@ -54,11 +54,13 @@ JOIN = 0.5
 REPLACE = 0.5
 MISREAD_RATE = 0.0006  # share of a word's occurrences that are misread in one certain way, for the examples to learn from
 COMMON_GRAMS = 0.4  # share of a form's q-grams that a candidate must have
+MEMO = 200_000  # tokens that a task remembers
 FREQUENT = 1e-5  # share of all words from which a clean page's word is known to every task; there are at most as many as its inverse
 
 _HYPHENS = "-\u2010\u00ac\u00ad\u2011"
 _HYPHEN = "\\-\u2010\u00ac\u00ad\u2011"  # the same inside a character class
 _BROKEN = re.compile(f"(\\S*[^\\W\\d_][^\\s{_HYPHEN}]*)[{_HYPHEN}]\\s*$")
+_ENDS = set(_HYPHENS)
 _OUTER = ".,;:?()[]{}\"“”„«»—–…"
 _GLOTTAL = re.compile("[‘’'`ʼ‛´′]")
 _HIDDEN = re.compile(f"[{INVISIBLES}]")
@@ -135,6 +137,12 @@ def is_word(f: str) -> bool:
     return not is_number(f) and any(c.isalpha() for c in f) and f[-1] not in _HYPHENS
 
 
+def broken_end(line: str) -> re.Match | None:
+    """The word before a hyphen at a line's end."""
+    line = line.rstrip()
+    return _BROKEN.search(line.rsplit(None, 1)[-1]) if line[-1:] in _ENDS else None
+
+
 # --- pages
 
 
@@ -167,7 +175,7 @@ def word_counts(page: DataFrame) -> DataFrame:
                         continue
                     if broken:
                         words = words[1:]
-                    broken = bool(_BROKEN.search(line))
+                    broken = bool(broken_end(line))
                     count[bool(scanned)].update(f for t in (words[:-1] if broken else words) if (f := form(t)))
             both = list(count[0].keys() | count[1].keys())
             yield pd.DataFrame({"form": both, "clean": [count[0][w] for w in both], "scan": [count[1][w] for w in both]})
@@ -220,7 +228,7 @@ def _features(lines: list[str], at: list[int], k: int, top: bool, depth: int, pa
     return [
         float(top), float(depth), len(line) / width, float(bool(re.search(r"[.!?][”\"')\]]*$", line))), float(numbers), float(only), float(hit),
         float(bool(re.search(r"\S\s{2,}\S", line)) or " | " in line), float(0 <= beside < len(lines) and not lines[beside].strip()),
-        float(line[:1].islower()), float(bool(_BROKEN.search(lines[i]))), sum(c.isupper() for c in letters) / max(1, len(letters)), float(len(line.split())),
+        float(line[:1].islower()), float(bool(broken_end(lines[i]))), sum(c.isupper() for c in letters) / max(1, len(letters)), float(len(line.split())),
         float(other[:1].islower()), float(bool(re.search(r"[.!?][”\"')\]]*$", other))), 0.0, 0.0, len(other) / width,
         float(any(m.group(1)[0].isupper() or m.group(1)[0] in "—“\"" or m.group(1)[-1] in _HYPHENS for m in _STOP.finditer(line))),
     ]
@@ -340,17 +348,33 @@ def tokens(page: DataFrame, removed: DataFrame, frequent: set[str]) -> DataFrame
     packed = pickle.dumps(frequent)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = pickle.loads(packed)
+        memo = Asked(pickle.loads(packed))
         for b in (part for whole in batches for part in in_parts(whole)):
             out = []
             for seg, text, gone in zip(b.segment_id, b.text, b.gone, strict=True):
-                out += [(seg, *t) for t in page_tokens(text, set() if gone is None else set(gone), known)]
+                out += [(seg, *t) for t in page_tokens(text, set() if gone is None else set(gone), memo)]
             yield pd.DataFrame(out, columns=["segment_id", "line_no", "kind", "form", "left", "right"])
 
     return rows.mapInPandas(run, "segment_id string, line_no int, kind string, form string, left string, right string")
 
 
-def page_tokens(text: str, gone: set[int], known: set[str] | frozenset[str] = frozenset()) -> list[tuple[int, str, str, str | None, str | None]]:
+class Asked(dict):
+    """The form of a token if it may be misread and is not known, else an empty text; remembers MEMO tokens."""
+
+    def __init__(self, known: set[str] | frozenset[str] = frozenset()):
+        super().__init__()
+        self.known = known
+
+    def __missing__(self, token: str) -> str:
+        if len(self) > MEMO:
+            self.clear()
+        f = form(token)
+        self[token] = f if f and f not in self.known and is_word(f) else ""
+        return self[token]
+
+
+def page_tokens(text: str, gone: set[int], memo: Asked | None = None) -> list[tuple[int, str, str, str | None, str | None]]:
+    memo = Asked() if memo is None else memo
     lines = text.split("\n")
     at = [i for i, s in enumerate(lines) if s.strip() and i + 1 not in gone]
     out = []
@@ -358,21 +382,20 @@ def page_tokens(text: str, gone: set[int], known: set[str] | frozenset[str] = fr
     for n, i in enumerate(at):
         words = lines[i].split()
         first = 1 if broken else 0
-        m = _BROKEN.search(lines[i]) if n + 1 < len(at) else None
+        m = broken_end(lines[i]) if n + 1 < len(at) else None
         broken = False
         if m and (tail := lines[at[n + 1]].split()):
             left, right = form(m.group(1)), form(tail[0]).rstrip("!")
             if left and right and any(c.isalpha() for c in right):
                 broken = True
                 out.append((i + 1, "h", left + right, left, right))
-        if _BROKEN.search(lines[i]) and words:
+        if broken_end(lines[i]) and words:
             words = words[:-1] if len(words[-1].strip()) else words
-        for a, b in zip(words, words[1:], strict=False):
-            if len(a) > 2 and a[-1] in _HYPHENS and a[0].isalpha():
-                out.append((i + 1, "n", form(a.rstrip(_HYPHENS)) + form(b), form(a.rstrip(_HYPHENS)), form(b)))
-        for w in words[first:]:
-            if (f := form(w)) and f not in known and is_word(f):
-                out.append((i + 1, "w", f, None, None))
+        if not _ENDS.isdisjoint(lines[i]):
+            for a, b in zip(words, words[1:], strict=False):
+                if len(a) > 2 and a[-1] in _HYPHENS and a[0].isalpha():
+                    out.append((i + 1, "n", form(a.rstrip(_HYPHENS)) + form(b), form(a.rstrip(_HYPHENS)), form(b)))
+        out += [(i + 1, "w", f, None, None) for w in words[first:] if (f := memo[w])]
     return out
 
 
