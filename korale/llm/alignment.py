@@ -7,13 +7,13 @@ ratio under a normal model, whose mean and variance are estimated, plus what
 its words leave untranslated. The dynamic programme finds the cheapest path;
 it runs over the anti-diagonals of many documents at once.
 
-The word evidence starts on a documented bounded sample (FIT_PAIRS pairs): a
-first round aligns by length, names and numbers alone and counts words that
-keep company in one-to-one beads; later rounds use that lexicon. Word
-frequencies, lengths and lexicon are then counted over the beads of all pairs.
-The model holds words from a share of RARE of all sentences on, so their number
-is at most that of the words of a sentence divided by RARE, and few partners
-for each; rarer words count as unknown, which names and numbers don't mind.
+The word evidence comes from ROUNDS rounds over all pairs: the first aligns by
+length, names and numbers alone and counts words that keep company in
+one-to-one beads; later rounds use that lexicon. Lengths and lexicon are counted
+anew in each round, word frequencies once, all over all pairs. The model holds
+words from a share of RARE of all sentences on, so their number is at most that
+of the words of a sentence divided by RARE, and few partners for each; rarer
+words count as unknown, which names and numbers don't mind.
 
 The path decides: its one-to-one beads are pairs, and in its merges, splits and
 at borders of beads sentences that share a part. Sentences that the path leaves
@@ -42,11 +42,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from korale.functions.folding import fold
-from korale.session import sample, spread, stored, table
+from korale.session import discard, spread, stored, table
 
-FIT_PAIRS = 450  # about so many pairs are the sample that the rounds over all pairs start from
-ROUNDS = 3
-ALL_ROUNDS = 1
+FIT_PAIRS = 450  # bounds nothing any more, as all rounds read all pairs; only tests set it
+ROUNDS = 4  # of learning, each over all pairs
 RARE = 1e-6  # share of a side's sentences from which the model holds a word
 TOGETHER = 3  # one-to-one beads two words must share
 DICE = 0.2  # association from which two words are translations
@@ -348,7 +347,7 @@ def _vocabulary(documents: DataFrame) -> Model:
 
 
 def _learn(documents: DataFrame, model: Model, first: bool) -> None:
-    """Aligns the documents by the model, then counts its lengths and lexicon anew from the beads."""
+    """Aligns the documents by the model, then counts its lengths and lexicon anew from the beads, which aren't kept."""
     packed = pickle.dumps(model)
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -371,6 +370,12 @@ def _learn(documents: DataFrame, model: Model, first: bool) -> None:
                 yield pa.RecordBatch.from_arrays(columns, names=["x", "y", "one", "two"])
 
     beads = stored(spread(documents).mapInArrow(align, "x int, y int, one array<int>, two array<int>"), "beads")
+    _count(beads, model)
+    discard(beads)
+
+
+def _count(beads: DataFrame, model: Model) -> None:
+    """Counts the model's lengths and lexicon from one-to-one beads."""
     sums = beads.agg(F.count("*").alias("n"), F.sum("x").alias("x"), F.sum("y").alias("y")).first()
     if sums.n <= 20:
         return
@@ -417,15 +422,12 @@ def _learn(documents: DataFrame, model: Model, first: bool) -> None:
 
 
 def fit(documents: DataFrame) -> Model:
-    """Length model and lexicon: ROUNDS rounds over the sample, then ALL_ROUNDS over all documents."""
+    """Length model and lexicon: ROUNDS rounds over all documents."""
     model = _vocabulary(documents)
-    seen = stored(sample(documents, FIT_PAIRS, "pair_id"), "pair-sample")
     for k in range(ROUNDS):
         model.penalty = WORDS if k else FIRST
-        _learn(seen, model, k == 0)
+        _learn(documents, model, k == 0)
     model.penalty = WORDS
-    for _ in range(ALL_ROUNDS):
-        _learn(documents, model, False)
     return model
 
 

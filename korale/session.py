@@ -69,12 +69,23 @@ def stored(df: DataFrame, label: str, partitions: int | None = None) -> DataFram
 _STORED: list[str] = []
 
 
+def discard(df: DataFrame) -> None:
+    """Deletes a table that stored() has returned, once no query reads it any more."""
+    names = {os.path.basename(os.path.dirname(f)) for f in df.inputFiles()}
+    for path in [p for p in _STORED if os.path.basename(p) in names]:
+        _delete(df.sparkSession, path)
+        _STORED.remove(path)
+
+
 def clear_stored(spark: SparkSession) -> None:
     """Deletes the tables that stored() has written in this process; for use when no query that reads them is left to run."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     while _STORED:
-        path = jvm.org.apache.hadoop.fs.Path(_STORED.pop())
-        path.getFileSystem(conf).delete(path, True)
+        _delete(spark, _STORED.pop())
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def sample(df: DataFrame, rows: int, *keys: str) -> DataFrame:

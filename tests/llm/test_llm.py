@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from korale.llm import alignment, gbt, language, mixing, ocr_repair, overlap, packing, queries, repetition, subjects, tokens, truncation
+from korale.session import sample, shared_dir
 
 WORDS = [a + b + c for a in ("ka", "te", "mo", "fu", "li") for b in ("na", "ve", "si", "lo") for c in ("", "ta", "mu", "pe")]
 
@@ -308,6 +310,34 @@ def test_alignment_knows_words_that_the_sample_lacks(spark, monkeypatch):
     assert len(got & want) / len(want) > 0.95 and len(got & want) / len(got) > 0.95
 
 
+def test_alignment_learns_from_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(alignment, "FIT_PAIRS", 10)
+    rng = random.Random(13)
+    ids = spark.createDataFrame([(f"q{k}",) for k in range(200)], "pair_id string")
+    few = {r.pair_id for r in sample(ids, 10, "pair_id").collect()}  # a domain of its own, in which the words mean something else
+    assert 10 <= len(few) < 50
+    rows, want = [], set()
+    for p in (f"q{k}" for k in range(200)):
+        english = {w: f"e{'x' if p in few else 'n'}{i}q" for i, w in enumerate(WORDS)}
+        for n in range(1, 11):
+            w = [rng.choice(WORDS) for _ in range(rng.randint(6, 12))]
+            rows.append((p, "tvl", n, " ".join(w) + "."))
+            if n != 3:  # an omission
+                rows.append((p, "en", n, " ".join(english[x] for x in w) + "."))
+                want.add((p, n, n))
+    df = spark.createDataFrame(rows, "pair_id string, side string, sent_no int, sentence string")
+    got = {(r.pair_id, r.tvl_no, r.en_no) for r in alignment.sentence_pairs(df).collect()}
+    assert len(got & want) / len(want) > 0.95 and len(got & want) / len(got) > 0.95
+
+
+def test_alignment_keeps_no_beads(spark):
+    rows = [(f"p{k}", s, n, f"{s}{k % 7} word{n}.") for k in range(10) for s in ("tvl", "en") for n in range(1, 4)]
+    documents = alignment._documents(spark.createDataFrame(rows, "pair_id string, side string, sent_no int, sentence string"))
+    before = set(Path(shared_dir(spark)).glob("korale/beads-*"))
+    alignment.fit(documents)
+    assert set(Path(shared_dir(spark)).glob("korale/beads-*")) == before
+
+
 # --- p6
 
 
